@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,17 +22,18 @@ _FIRST = "__first_group"
 _LAST = "__last_group"
 
 
-def _offsets(stats: list, tails: dict, totals: Sequence[str]) -> list[tuple]:
-    """Per range: what the earlier ranges already counted for its first group."""
-    rows, carried_group, carried = [], None, [0] * len(totals)
-    for row in stats:
-        offset = carried if row[_FIRST] == carried_group else [0] * len(totals)
-        rows.append((row[_RANGE], row[_FIRST], *offset))
-        tail = tails[row[_RANGE]]
-        one_group = row[_FIRST] == row[_LAST]
-        carried = [o + t for o, t in zip(offset, tail)] if one_group else list(tail)
-        carried_group = row[_LAST]
-    return rows
+def _offsets(firsts: list, lasts: list, tails: list[list[int]]) -> list[list[int]]:
+    """Per range, in order: what the ranges before it already counted for its first group.
+
+    ``tails`` holds the totals of each range's last group.
+    """
+    offsets, open_group, carried = [], None, [0] * len(tails[0]) if tails else []
+    for first, last, tail in zip(firsts, lasts, tails):
+        offset = carried if first == open_group else [0] * len(tail)
+        offsets.append(offset)
+        carried = [o + t for o, t in zip(offset, tail)] if first == last else tail
+        open_group = last
+    return offsets
 
 
 def running(
@@ -54,21 +56,28 @@ def running(
     ranged = durable(ranged.withColumn(_RANGE, F.spark_partition_id()), "ranges")
 
     key = F.struct(*[F.col(g) for g in group], F.lit(0).alias("__all"))
-    ends = ranged.groupBy(_RANGE).agg(F.min(key).alias(_FIRST), F.max(key).alias(_LAST))
-    stats = ends.orderBy(_RANGE).collect()  # one row per range
     names = ["__rows", *[f"__sum_{s}" for s in sums]]
     totals = [F.count(F.lit(1)), *[F.coalesce(F.sum(s).cast("bigint"), F.lit(0).cast("bigint")) for s in sums]]
-    tail = (
-        ranged.join(F.broadcast(spark.createDataFrame(stats, ends.schema)), _RANGE)
-        .where(key.eqNullSafe(F.col(_LAST)))
-        .groupBy(_RANGE)
-        .agg(*[t.alias(n) for t, n in zip(totals, names)])
-    )
-    tails = {row[_RANGE]: [row[n] for n in names] for row in tail.collect()}
-    schema = T.StructType(
-        [ends.schema[_RANGE], ends.schema[_FIRST]] + [T.StructField(n, T.LongType()) for n in names]
+    totals = [t.alias(n) for t, n in zip(totals, names)]
+    ends = ranged.groupBy(_RANGE).agg(
+        F.min(key).alias(_FIRST), F.max(key).alias(_LAST), *([] if group else totals)
     )
-    offsets = spark.createDataFrame(_offsets(stats, tails, names), schema)
+    stats = ends.toArrow().sort_by(_RANGE)  # one row per range
+    if group:
+        last = spark.createDataFrame(stats.select([_RANGE, _LAST]), ends.select(_RANGE, _LAST).schema)
+        of_last = ranged.join(F.broadcast(last), _RANGE).where(key.eqNullSafe(F.col(_LAST)))
+        tails = of_last.groupBy(_RANGE).agg(*totals).toArrow().sort_by(_RANGE)
+    else:
+        tails = stats
+    tail_rows = [list(t) for t in zip(*[tails[n].to_pylist() for n in names])]
+    carried_rows = _offsets(stats[_FIRST].to_pylist(), stats[_LAST].to_pylist(), tail_rows)
+    table = stats.select([_RANGE, _FIRST])
+    for i, name in enumerate(names):
+        table = table.append_column(name, pa.array([row[i] for row in carried_rows], pa.int64()))
+    schema = ends.select(_RANGE, _FIRST).schema
+    for name in names:
+        schema = schema.add(name, T.LongType())
+    offsets = spark.createDataFrame(table, schema)
 
     window = Window.partitionBy(_RANGE, *group).orderBy(*order)
     frame = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -43,13 +43,10 @@ def hot_keys(df: DataFrame, column: str, min_rows: int = HOT_ROWS) -> HotKeys:
     rows = df.count()
     if rows < min_rows:
         return HotKeys(column)
-    seen = df.select(
-        F.count(column).alias("filled"),
-        F.expr(f"approx_top_k(`{column}`, {HOT_SHARE}, {SKETCH_ITEMS})").alias("top"),
-    ).first()
+    top = df.select(F.expr(f"approx_top_k(`{column}`, {HOT_SHARE}, {SKETCH_ITEMS})")).first()[0]
     floor = max(min_rows, rows // HOT_SHARE)
-    values = tuple(item["item"] for item in seen["top"] or () if item["count"] >= floor)
-    return HotKeys(column, values, rows - seen["filled"] >= floor)
+    found = [item["item"] for item in top or () if item["count"] >= floor]
+    return HotKeys(column, tuple(k for k in found if k is not None), None in found)
 
 
 def skew_join(
@@ -82,8 +79,8 @@ def small_table(df: DataFrame, max_rows: int = 10_000) -> DataFrame | None:
 
     The check reads at most ``max_rows + 1`` rows, so the result is safe to broadcast.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return None
     return df.sparkSession.createDataFrame(rows, df.schema)
 

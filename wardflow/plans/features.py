@@ -32,18 +32,22 @@ def _by_window(encounters: DataFrame, patients: DataFrame) -> DataFrame:
     """
     visits = visit_window()
     patient = visits.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-
-    def mean(column: str):
-        return ratio_half_up(F.sum(column).over(patient), F.count(column).over(patient))
-
-    return encounters.select(
+    measured = encounters.select(
         "*",
         F.count(F.lit(1)).over(patient).alias("total_prior_visits"),
-        mean("length_of_stay").alias("avg_stay_days"),
-        mean("num_medications").alias("avg_medications"),
+        F.sum("length_of_stay").over(patient).alias("__stay"),
+        F.count("length_of_stay").over(patient).alias("__stays"),
+        F.sum("num_medications").over(patient).alias("__drugs"),
+        F.count("num_medications").over(patient).alias("__drug_counts"),
         F.max("num_lab_procedures").over(patient).alias("max_lab_procedures"),
         F.lag("encounter_date").over(visits).alias(_PREVIOUS),
-    ).join(patients, "patient_id")
+    )
+    means = {
+        "avg_stay_days": ratio_half_up(F.col("__stay"), F.col("__stays")),
+        "avg_medications": ratio_half_up(F.col("__drugs"), F.col("__drug_counts")),
+    }
+    history = measured.withColumns(means).drop("__stay", "__stays", "__drugs", "__drug_counts")
+    return history.join(patients, "patient_id")
 
 
 def _by_aggregate(encounters: DataFrame, patients: DataFrame, hot: HotKeys) -> DataFrame:
