@@ -58,14 +58,16 @@ def test_hot_keys_are_found(spark, hospital):
     assert hot_keys(texts, "k", min_rows=500).values == ("hot",)
 
 
-def test_hot_test_is_never_null(spark):
+def test_keep_and_drop_share_out_all_rows(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "k bigint")
-    for hot, expected in [
-        (HotKeys("k", (1,)), [True, False, False]),
-        (HotKeys("k", (1,), True), [True, False, True]),
-        (HotKeys("k", (), True), [False, False, True]),
+    for hot, kept in [
+        (HotKeys("k", (1,)), [1]),
+        (HotKeys("k", (1,), True), [1, None]),
+        (HotKeys("k", (), True), [None]),
+        (HotKeys("k"), []),
     ]:
-        assert [r[0] for r in df.select(hot.test()).collect()] == expected
+        assert [r[0] for r in hot.keep(df).collect()] == kept
+        assert [r[0] for r in hot.drop(df).collect()] == [k for k in (1, 2, None) if k not in kept]
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "right"])

@@ -1,0 +1,123 @@
+"""Reading, writing, registering, exploring, settings, work folder."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from wardflow.plans.explorer import explore
+from wardflow.schemas import ENCOUNTERS, TABLES
+from wardflow.session import durable, work_folder
+from wardflow.sources import tables as io
+
+
+class Session:
+    """Stands in for a session on a given master with a given setting."""
+
+    def __init__(self, master, setting, folder=None):
+        self.conf = {"spark.checkpoint.dir": setting} if setting else {}
+        self.sparkContext = self
+        self.master, self.folder = master, folder
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_work_folder_is_the_one_the_session_names():
+    assert work_folder(Session("yarn", "s3a://bucket/work/")) == "s3a://bucket/work"
+    assert work_folder(Session("yarn", None, "hdfs://work")) == "hdfs://work"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_folder(Session("yarn", None))
+    own = Session("local[2]", None)
+    assert work_folder(own) == work_folder(own) == own.folder
+
+
+def test_durable_cuts_the_lineage(spark):
+    kept = durable(spark.range(5), "five")
+    assert kept.count() == 5
+    assert work_folder(spark).removeprefix("file:") + "/five-" in kept.inputFiles()[0]
+    assert "Range" not in kept._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_csv_columns_are_found_by_name_and_cast(spark, tmp_path):
+    names = ["number_diagnoses", "extra", *[c for c in io.RAW_TYPES if c != "number_diagnoses"]]
+    values = {"encounter_id": "5", "patient_nbr": "6", "number_diagnoses": "9", "race": '""', "age": "NA", "diag_1": "?"}
+    line = ",".join(values.get(n, "1") for n in names)
+    (tmp_path / "raw.csv").write_text(",".join(names) + "\n" + line + "\n")
+    row = io.read_raw_csv(spark, str(tmp_path / "raw.csv")).first()
+    assert (row["encounter_id"], row["patient_nbr"], row["number_diagnoses"]) == (5, 6, 9)
+    assert row["race"] is None and row["age"] is None and row["diag_1"] is None
+    custom = io.read_raw_csv(spark, str(tmp_path / "raw.csv"), null_tokens=["?"]).first()
+    assert custom["age"] == "NA" and custom["diag_1"] is None
+
+
+def test_missing_features_raise(spark, tmp_path):
+    with pytest.raises(AnalysisException):
+        io.read_features(spark, str(tmp_path / "nothing"))
+
+
+def test_catalog_tables_and_bucketing(spark, tmp_path, same_rows):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS ward LOCATION '{tmp_path}'")
+    try:
+        io.create_tables(spark, "ward")
+        for name, definition in TABLES.items():
+            found = spark.table(f"ward.{name}")
+            assert found.schema.fieldNames() == definition.schema.fieldNames()
+            assert [f.dataType for f in found.schema] == [f.dataType for f in definition.schema]
+        assert "CLUSTERED BY (`patient_id`) INTO 8 BUCKETS" in TABLES["encounters"].ddl(None, "patient_id", 8)
+
+        left = spark.range(1000).select("id", (F.col("id") * 3).alias("v"))
+        right = spark.range(500).select("id", (F.col("id") * 5).alias("w"))
+        io.save_bucketed(left, "ward.b_left", "id", 4)
+        io.save_bucketed(right, "ward.b_right", "id", 4)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        joined = spark.table("ward.b_left").join(spark.table("ward.b_right"), "id")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        same_rows(joined, left.join(right, "id"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP DATABASE ward CASCADE")
+
+
+def test_partitioned_write_prunes(spark, tmp_path):
+    df = spark.range(100).select("id", (F.col("id") % 4).alias("part"))
+    io.write_table(df, str(tmp_path / "t"), partition_by=["part"])
+    back = io.read_table(spark, str(tmp_path / "t")).where("part = 2")
+    assert back.count() == 25
+    assert "PartitionFilters: [isnotnull(part" in back._jdf.queryExecution().executedPlan().toString()
+
+
+def test_jdbc_options():
+    settings = {"DB_NAME": "ward", "DB_USER": "me", "DB_PASS": "p@ss", "numPartitions": "8"}
+    assert io.jdbc_options(settings, "encounters") == {
+        "url": "jdbc:postgresql://localhost:5432/ward", "dbtable": "encounters", "user": "me", "password": "p@ss",
+        "numPartitions": "8",
+    }
+    assert "db.host:6543" in io.jdbc_options(settings | {"DB_HOST": "db.host", "DB_PORT": "6543"}, "t")["url"]
+
+
+def test_schema_read_back(spark, tmp_path):
+    io.write_tables({"encounters": spark.createDataFrame([], ENCOUNTERS)}, str(tmp_path))
+    assert io.read_tables(spark, str(tmp_path), ["encounters"])["encounters"].schema == ENCOUNTERS
+
+
+def test_explorer(spark):
+    io.register_tables({"numbers": spark.range(10)})
+    found = explore(spark, "SELECT id FROM numbers WHERE id > 3 ORDER BY id DESC;  ")
+    assert [r["id"] for r in found.frame.collect()] == [9, 8, 7, 6, 5, 4]
+    assert found.row_count == 6 and found.error is None
+    assert len(explore(spark, "WITH n AS (SELECT * FROM numbers) SELECT * FROM n -- all\n LIMIT 5").frame.collect()) == 5
+
+
+@pytest.mark.parametrize(
+    "text", ["SELECT nothing FROM numbers", "SELEC 1", "DROP VIEW numbers", "INSERT INTO numbers VALUES (1)", ""]
+)
+def test_explorer_reports_errors_and_refuses_commands(spark, text):
+    io.register_tables({"numbers": spark.range(10)})
+    found = explore(spark, text)
+    assert found.frame is None and found.error
+    assert spark.table("numbers").count() == 10

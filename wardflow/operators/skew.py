@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A key is hot when it has at least this many rows and this share of its table.
@@ -26,11 +26,17 @@ class HotKeys:
     def __bool__(self) -> bool:
         return bool(self.values) or self.has_null
 
-    def test(self) -> Column:
-        """True for rows of a hot key, never null."""
+    def keep(self, df: DataFrame) -> DataFrame:
+        """The rows of hot keys. The filter reaches the scan."""
         col = F.col(self.column)
-        hit = F.coalesce(col.isin(list(self.values)), F.lit(False)) if self.values else F.lit(False)
-        return hit | col.isNull() if self.has_null else hit
+        hit = col.isin(list(self.values))
+        return df.where((hit | col.isNull()) if self.has_null else hit)
+
+    def drop(self, df: DataFrame) -> DataFrame:
+        """All other rows."""
+        col = F.col(self.column)
+        miss = ~col.isin(list(self.values))
+        return df.where((miss & col.isNotNull()) if self.has_null else (miss | col.isNull()))
 
 
 def hot_keys(df: DataFrame, column: str, min_rows: int = HOT_ROWS) -> HotKeys:
@@ -66,11 +72,10 @@ def skew_join(
         hot = HotKeys(key, hot.values)
     if not hot:
         return many.join(one, key, how)
-    is_hot = hot.test()
-    cold = many.where(~is_hot).join(one.where(~is_hot), key, how)
+    cold = hot.drop(many).join(hot.drop(one), key, how)
     # The hot keys come from ``many``, so each of their ``one`` rows has a partner.
     heavy_how = "inner" if how == "right" else how
-    heavy = many.where(is_hot).join(F.broadcast(one.where(is_hot)), key, heavy_how)
+    heavy = hot.keep(many).join(F.broadcast(hot.keep(one)), key, heavy_how)
     return cold.unionByName(heavy)
 
 

@@ -54,8 +54,7 @@ def previous_visit(
 
     if not hot:
         return by_row(encounters)
-    is_hot = hot.test()
-    return by_row(encounters.where(~is_hot)).unionByName(previous_by_day(encounters.where(is_hot), name))
+    return by_row(hot.drop(encounters)).unionByName(previous_by_day(hot.keep(encounters), name))
 
 
 def gap_days(date: Column, previous: Column) -> Column:
@@ -79,10 +78,9 @@ def visit_number(
 
     if not hot:
         return by_row(df)
-    is_hot = hot.test()
-    ranked = running(df.where(is_hot), [F.col(order)], group=[patient], position=name)
+    ranked = running(hot.keep(df), [F.col(order)], group=[patient], position=name)
     ranked = ranked.withColumn(name, F.col(name) - 1)
-    return by_row(df.where(~is_hot)).unionByName(ranked)
+    return by_row(hot.drop(df)).unionByName(ranked)
 
 
 def synthetic_date(number: Column) -> Column:

@@ -68,9 +68,8 @@ def _with_patient(
         return _by_aggregate(encounters, patients, hot)
     if not hot:
         return _by_window(encounters, patients)
-    is_hot = hot.test()
-    ordinary = _by_window(encounters.where(~is_hot), patients.where(~is_hot))
-    heavy = _by_aggregate(encounters.where(is_hot), patients.where(is_hot), hot)
+    ordinary = _by_window(hot.drop(encounters), hot.drop(patients))
+    heavy = _by_aggregate(hot.keep(encounters), hot.keep(patients), hot)
     return ordinary.unionByName(heavy)
 
 

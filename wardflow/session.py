@@ -33,15 +33,23 @@ def work_folder(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``. Only a local session may
     fall back to a temporary folder: on a cluster that would be machine-local.
     """
-    folder = spark.conf.get(CHECKPOINT_CONF, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
-        folder = tempfile.mkdtemp(prefix="wardflow-")
-        spark.conf.set(CHECKPOINT_CONF, folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="wardflow-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
+def enable_checkpoints(spark: SparkSession) -> None:
+    """Let the tree learners cut their lineage in the shared work folder."""
+    folder = work_folder(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+
+
 def durable(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared work folder and read it back.
 
