@@ -33,7 +33,8 @@ def write_extract(path, rows=GIVEN):
 @pytest.fixture(scope="module")
 def loaded(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("golden")
-    ingest(spark, write_extract(base / "raw.csv"), str(base / "tables"))
+    rows = ingest(spark, write_extract(base / "raw.csv"), str(base / "tables"))
+    assert rows == {"patients": 2, "encounters": 3, "diagnoses": 3, "medications": 3}
     return read_tables(spark, str(base / "tables"))
 
 
@@ -95,7 +96,7 @@ def test_features(loaded, strategy):
 @pytest.mark.parametrize("file_format", ["parquet", "csv"])
 def test_features_survive_a_round_trip(spark, loaded, tmp_path, file_format):
     path = str(tmp_path / "not" / "there" / "yet")
-    save_features(loaded, path, file_format)
+    assert save_features(loaded, path, file_format) == 3
     got = read_features(spark, path, file_format).orderBy("encounter_id")
     assert [tuple(r) for r in got.collect()] == EXPECTED
 
@@ -129,8 +130,9 @@ def test_file_order_across_many_blocks(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", 10_000)
     spark.conf.set("spark.sql.files.openCostInBytes", 1)
     try:
-        tables = ingest(spark, path, str(tmp_path / "tables"), ids=False)
-        got = {r["patient_id"]: r["admission_type"] for r in tables["patients"].collect()}
+        ingest(spark, path, str(tmp_path / "tables"), ids=False)
+        patients = read_tables(spark, str(tmp_path / "tables"))["patients"]
+        got = {r["patient_id"]: r["admission_type"] for r in patients.collect()}
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")

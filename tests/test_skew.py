@@ -172,7 +172,7 @@ def test_rates_and_history_with_hot_keys(hospital, same_rows):
     )
 
 
-@pytest.mark.parametrize("partitions", [1, 3, 16])
+@pytest.mark.parametrize("partitions", [1, 3, 16, None])
 def test_running_equals_a_window(spark, hospital, same_rows, partitions):
     """Hot and null groups cross range borders; other groups are far smaller than a range."""
     df = hospital["encounters"].select("patient_id", "encounter_id", "length_of_stay")

@@ -51,8 +51,9 @@ def running(
     see the same boundaries even when tasks are run again.
     """
     spark = df.sparkSession
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(count, *[F.col(g) for g in group], *order)
+    keys = [*[F.col(g) for g in group], *order]
+    # Without a given number, Spark starts from its shuffle partitions and merges small ones.
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     ranged = durable(ranged.withColumn(_RANGE, F.spark_partition_id()), "ranges")
 
     key = F.struct(*[F.col(g) for g in group], F.lit(0).alias("__all"))

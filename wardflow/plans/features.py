@@ -18,7 +18,7 @@ from wardflow.operators.visits import (
     visit_window,
 )
 from wardflow.schemas import FEATURES
-from wardflow.sources.tables import write_table
+from wardflow.sources.tables import write_counted
 
 _PREVIOUS = "prev_encounter_date"
 _HISTORY = ("total_prior_visits", "avg_stay_days", "avg_medications", "max_lab_procedures")
@@ -119,6 +119,6 @@ def build_features(
 
 def save_features(
     tables: Mapping[str, DataFrame], path: str, file_format: str = "parquet", **options
-) -> None:
-    """Build the feature table and write it as parquet, or as CSV for export."""
-    write_table(build_features(tables, **options), path, file_format=file_format)
+) -> int:
+    """Build the feature table, write it as parquet, or as CSV for export; returns the rows written."""
+    return write_counted(build_features(tables, **options), path, file_format=file_format)

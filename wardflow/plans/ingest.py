@@ -88,8 +88,8 @@ def normalise(raw: DataFrame, ids: bool = True, order: str = FILE_ORDER) -> dict
 
 def ingest(
     spark: SparkSession, csv_path: str, out_dir: str, mode: str = "overwrite", ids: bool = True
-) -> dict[str, DataFrame]:
-    """Load a raw CSV extract and write the four tables as parquet folders.
+) -> dict[str, int]:
+    """Load a raw CSV extract, write the four tables as parquet folders, return the rows written.
 
     The cleaned scan is written once: it fixes the file order, and each of the four
     writes then reads only its own columns.
@@ -98,5 +98,4 @@ def ingest(
     tables = normalise(raw, ids)
     for name in ("patients", "encounters"):
         tables[name] = tables[name].withColumn("created_at", F.current_timestamp())
-    write_tables(tables, out_dir, mode)
-    return tables
+    return write_tables(tables, out_dir, mode)
