@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -48,6 +50,16 @@ def test_hot_patients_have_no_row_window(no_small_joins, stored):
     assert "keys=[patient_id" in plan and "partial_min(encounter_id" in plan  # combined before the shuffle
 
 
+def test_rows_of_hot_encounters_come_from_their_patients_only(no_small_joins, stored):
+    hot = HotKeys("encounter_id", (3, 5))
+    owners = [str(r["patient_id"]) for r in hot.keep(stored["encounters"]).select("patient_id").collect()]
+    plan = plan_of(build_features(stored, hot_patients=HotKeys("patient_id"), hot_encounters=hot))
+    windows = plan.split("Window [")[1:]
+    assert len(windows) == 2  # all patients once, the owners of hot encounters once more
+    found = re.findall(r"Filter .*patient_id#\d+L IN \(([\d,]+)\)", windows[1] + windows[0])
+    assert any(sorted(ids.split(",")) == sorted(owners) for ids in found)
+
+
 def test_scans_read_only_what_they_need(no_small_joins, stored):
     plan = plan_of(rates.diagnosis_rates(stored["encounters"], stored["diagnoses"], HotKeys("encounter_id")))
     assert "ReadSchema: struct<encounter_id:bigint,readmitted:boolean>" in plan
@@ -60,6 +72,8 @@ def test_point_lookup_is_pushed_to_the_scan(stored):
 
 
 def test_hot_keys_are_filtered_at_the_scan(no_small_joins, stored):
+    plain = plan_of(rates.with_history(stored["encounters"], hot=HotKeys("patient_id")))
+    assert plain.count("Exchange") == 1 and plain.count("FileScan") == 1
     plan = plan_of(rates.with_history(stored["encounters"], hot=HotKeys("patient_id", (3, 5))))
     assert "PushedFilters: [In(patient_id, [3,5])" in plan
     assert "PushedFilters: [Or(Not(In(patient_id, [3,5])),IsNull(patient_id))" in plan

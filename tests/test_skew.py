@@ -170,6 +170,10 @@ def test_rates_and_history_with_hot_keys(hospital, same_rows):
     same_rows(
         rates.with_history(e, hot=HotKeys("patient_id", (7,))), rates.with_history(e, hot=HotKeys("patient_id"))
     )
+    for rounded in (True, False):
+        joined = e.join(rates.patient_history(e, rounded), "patient_id", "left")
+        for hot in (HotKeys("patient_id"), HotKeys("patient_id", (7,), True)):
+            same_rows(rates.with_history(e, rounded, hot), joined)
 
 
 @pytest.mark.parametrize("partitions", [1, 3, 16, None])

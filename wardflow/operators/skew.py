@@ -56,7 +56,12 @@ def hot_keys(df: DataFrame, column: str, min_rows: int = HOT_ROWS) -> HotKeys:
 
 
 def skew_join(
-    many: DataFrame, one: DataFrame, key: str, how: str = "inner", hot: HotKeys | None = None
+    many: DataFrame,
+    one: DataFrame,
+    key: str,
+    how: str = "inner",
+    hot: HotKeys | None = None,
+    hot_one: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``many`` to ``one``, which is unique on ``key``.
 
@@ -64,7 +69,7 @@ def skew_join(
     of ``one``). Rows of hot keys stay where they are and meet a broadcast of the
     matching ``one`` rows: no more rows than hot keys, because ``one`` is unique.
     All other rows take an ordinary shuffle join. With no hot key the plan is the
-    ordinary join alone.
+    ordinary join alone. ``hot_one`` may give a cheaper plan for the hot rows of ``one``.
     """
     hot = hot_keys(many, key) if hot is None else hot
     if how != "left":  # a null key never matches
@@ -75,7 +80,8 @@ def skew_join(
     cold = hot.drop(many).join(hot.drop(one), key, how)
     # The hot keys come from ``many``, so each of their ``one`` rows has a partner.
     heavy_how = "inner" if how == "right" else how
-    heavy = hot.keep(many).join(F.broadcast(hot.keep(one)), key, heavy_how)
+    heavy_one = hot.keep(one if hot_one is None else hot_one)
+    heavy = hot.keep(many).join(F.broadcast(heavy_one), key, heavy_how)
     return cold.unionByName(heavy)
 
 

@@ -8,8 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wardflow.functions.numbers import ratio_half_up
-from wardflow.operators.rates import diagnosis_rates, medication_flags, patient_history
+from wardflow.operators.rates import (
+    HISTORY_COLUMNS,
+    diagnosis_rates,
+    history_over,
+    medication_flags,
+    patient_history,
+)
 from wardflow.operators.skew import HotKeys, hot_keys, lookup_join, skew_join
 from wardflow.operators.visits import (
     NO_PREVIOUS_VISIT,
@@ -21,7 +26,6 @@ from wardflow.schemas import FEATURES
 from wardflow.sources.tables import write_counted
 
 _PREVIOUS = "prev_encounter_date"
-_HISTORY = ("total_prior_visits", "avg_stay_days", "avg_medications", "max_lab_procedures")
 
 
 def _by_window(encounters: DataFrame, patients: DataFrame) -> DataFrame:
@@ -32,22 +36,8 @@ def _by_window(encounters: DataFrame, patients: DataFrame) -> DataFrame:
     """
     visits = visit_window()
     patient = visits.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    measured = encounters.select(
-        "*",
-        F.count(F.lit(1)).over(patient).alias("total_prior_visits"),
-        F.sum("length_of_stay").over(patient).alias("__stay"),
-        F.count("length_of_stay").over(patient).alias("__stays"),
-        F.sum("num_medications").over(patient).alias("__drugs"),
-        F.count("num_medications").over(patient).alias("__drug_counts"),
-        F.max("num_lab_procedures").over(patient).alias("max_lab_procedures"),
-        F.lag("encounter_date").over(visits).alias(_PREVIOUS),
-    )
-    means = {
-        "avg_stay_days": ratio_half_up(F.col("__stay"), F.col("__stays")),
-        "avg_medications": ratio_half_up(F.col("__drugs"), F.col("__drug_counts")),
-    }
-    history = measured.withColumns(means).drop("__stay", "__stays", "__drugs", "__drug_counts")
-    return history.join(patients, "patient_id")
+    previous = {_PREVIOUS: F.lag("encounter_date").over(visits)}
+    return history_over(encounters, patient, **previous).join(patients, "patient_id")
 
 
 def _by_aggregate(encounters: DataFrame, patients: DataFrame, hot: HotKeys) -> DataFrame:
@@ -63,7 +53,6 @@ def _with_patient(
     encounters = encounters.where(F.col("patient_id").isNotNull())  # the inner join drops these
     if strategy == "window":
         return _by_window(encounters, patients)
-    hot = hot_keys(encounters, "patient_id") if hot is None else hot
     if strategy == "join":
         return _by_aggregate(encounters, patients, hot)
     if not hot:
@@ -100,14 +89,27 @@ def build_features(
     if rates is None:
         rates = diagnosis_rates(encounters, diagnoses, hot_encounters)
 
-    rows = _with_patient(encounters, patients, strategy, hot_patients)
-    rows = rows.join(medication_flags(tables["medications"]), "encounter_id", "left")
-    rows = skew_join(diagnoses, rows, "encounter_id", "right", hot_encounters)
+    if hot_patients is None and strategy != "window":
+        hot_patients = hot_keys(encounters, "patient_id")
+    flags = medication_flags(tables["medications"])
+
+    def one_row_each(some: DataFrame) -> DataFrame:
+        return _with_patient(some, patients, strategy, hot_patients).join(flags, "encounter_id", "left")
+
+    hot_rows = None
+    if hot_encounters:
+        # Their patients, no more than hot encounters, are enough to compute their rows.
+        owners = hot_encounters.keep(encounters).select("patient_id").collect()
+        owners = [row["patient_id"] for row in owners if row["patient_id"] is not None]
+        hot_rows = one_row_each(encounters.where(F.col("patient_id").isin(owners)))
+    rows = skew_join(
+        diagnoses, one_row_each(encounters), "encounter_id", "right", hot_encounters, hot_rows
+    )
     rows = lookup_join(rows, rates.select("diagnosis_group", "readmission_rate_pct"), "diagnosis_group")
 
     gap = gap_days(F.col("encounter_date"), F.col(_PREVIOUS))
     derived = {
-        **{name: F.coalesce(F.col(name), F.lit(0)) for name in _HISTORY},
+        **{name: F.coalesce(F.col(name), F.lit(0)) for name in HISTORY_COLUMNS},
         "days_since_last_visit": F.coalesce(gap, F.lit(NO_PREVIOUS_VISIT)),
         "diag_readmission_rate": F.coalesce(F.col("readmission_rate_pct"), F.lit(0.0)),
         "medication_change_flag": F.coalesce(F.col("med_change_flag"), F.lit(0)),
