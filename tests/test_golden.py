@@ -93,6 +93,12 @@ def test_features(loaded, strategy):
     assert [tuple(r) for r in got.collect()] == EXPECTED
 
 
+def test_rates_fitted_elsewhere(spark, loaded):
+    rates = spark.createDataFrame([("Circulatory", 12.5)], "diagnosis_group string, readmission_rate_pct double")
+    got = build_features(loaded, rates=rates).orderBy("encounter_id").select("diag_readmission_rate")
+    assert [r[0] for r in got.collect()] == [12.5, 0.0, 0.0]
+
+
 @pytest.mark.parametrize("file_format", ["parquet", "csv"])
 def test_features_survive_a_round_trip(spark, loaded, tmp_path, file_format):
     path = str(tmp_path / "not" / "there" / "yet")

@@ -16,7 +16,7 @@ def database(folder):
 
 
 UNWANTED = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin")
-MODELS = {"gbt_score", "gbt_grid", "attribution", "three_class_forest"}
+MODELS = {"gbt_score", "gbt_score_checks", "gbt_grid", "attribution", "three_class_forest"}
 
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))

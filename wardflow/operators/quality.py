@@ -64,6 +64,22 @@ def length_violations(df: DataFrame, key: str, limits: dict[str, int]) -> DataFr
     return found.select(key, "bad.column_name", "bad.n_chars")
 
 
+def _length_counts(name: str, df: DataFrame, definition: TableDefinition) -> DataFrame:
+    """One row per length limit, all counted in one pass over the table."""
+    counted = df.agg(
+        *[F.count(F.when(F.char_length(c) > width, 1)).alias(c) for c, width in definition.max_lengths]
+    )
+    rows = [
+        F.struct(
+            F.lit(name).alias("table_name"),
+            F.lit(f"length of {c}").alias("constraint_name"),
+            F.col(c).alias("violations"),
+        )
+        for c, _ in definition.max_lengths
+    ]
+    return counted.select(F.inline(F.array(*rows)))
+
+
 def check_tables(tables: dict[str, DataFrame], definitions: dict[str, TableDefinition]) -> DataFrame:
     """Number of violations per declared constraint of all given tables."""
     results = []
@@ -83,8 +99,8 @@ def check_tables(tables: dict[str, DataFrame], definitions: dict[str, TableDefin
         for fk in definition.foreign_keys:
             bad = foreign_key_violations(df, fk.column, tables[fk.parent], fk.parent_column)
             add(name, f"foreign key {fk.column}", bad)
-        for column, width in definition.max_lengths:
-            add(name, f"length of {column}", df.where(F.char_length(column) > width))
+        if definition.max_lengths:
+            results.append(_length_counts(name, df, definition))
     return reduce(DataFrame.unionByName, results)
 
 

@@ -46,7 +46,8 @@ def running(
 ) -> DataFrame:
     """Add ``position`` (from 1) and ``cum_<name>`` for each whole-number column in ``sums``.
 
-    ``order`` must be a total order within a group. Only one small row per range
+    ``order`` must be a total order within a group: equal rows cannot be shared out
+    among ranges, so count repeated values first. Only one small row per range
     reaches the driver. The ranges are written once, so that numbering and offsets
     see the same boundaries even when tasks are run again.
     """
