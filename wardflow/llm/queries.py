@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.llm.fingerprints import op1_fingerprints
+from wardflow.llm.packed_ids import op9_packed_ids
+from wardflow.llm.simhash import op7_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
+    "op7_simhash": op7_simhash,
+    "op9_packed_ids": op9_packed_ids,
 }
 ORACLES: dict[str, str] = {}
