@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wardflow.llm.decontaminate import OP2_SQL, op2_decontaminate
 from wardflow.llm.fingerprints import op1_fingerprints
 from wardflow.llm.packed_ids import op9_packed_ids
+from wardflow.llm.quality import op6_quality
+from wardflow.llm.secrets import op3_secrets
 from wardflow.llm.simhash import op7_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_decontaminate": op2_decontaminate,
+    "op3_secrets": op3_secrets,
+    "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
     "op9_packed_ids": op9_packed_ids,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_decontaminate": OP2_SQL,
+}
