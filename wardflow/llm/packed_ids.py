@@ -23,8 +23,8 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -124,7 +124,7 @@ class ByteEncoder:
         rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[0-9]+| ?[^\s0-9{LETTER}]+|\s+(?!\S)|\s+"
     )
 
-    def __init__(self, spec: str, limit: int = 600_000):
+    def __init__(self, spec: str, limit: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -132,7 +132,7 @@ class ByteEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}  # ids as little-endian u4
         self.limit = limit
 
     def __call__(self, batch: Iterable[str]) -> list[np.ndarray]:
@@ -150,8 +150,8 @@ class ByteEncoder:
                     self.known.clear()
                     missing = list(set(pieces))
                 found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-                self.known.update(zip(missing, (tuple(e.ids) for e in found)))
-            out.append(np.fromiter(chain.from_iterable(map(self.known.__getitem__, pieces)), dtype=np.uint32))
+                self.known.update(zip(missing, (array("I", e.ids).tobytes() for e in found)))
+            out.append(np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), dtype=np.uint32))
         return out
 
 
