@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wardflow.session import durable
+from wardflow.session import durable, work_folder
 
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 #: ASCII white space, the separators of ``[^\x20\x09-\x0D]+``; bytes.split() uses the same set.
@@ -98,3 +98,15 @@ def successors(keys: DataFrame, key: str = "k") -> DataFrame:
         .withColumn(f"next_{key}", F.coalesce("inside", "after"))
         .drop("inside", "after", "part")
     )
+
+
+def put_file(spark: SparkSession, name: str, data: bytes) -> str:
+    """Write a small file into the shared work folder, whatever store that is; its path."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{work_folder(spark)}/{name}")
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    return path.toString()

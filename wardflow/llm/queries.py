@@ -12,11 +12,13 @@ from wardflow.llm.packed_ids import op9_packed_ids
 from wardflow.llm.quality import op6_quality
 from wardflow.llm.secrets import op3_secrets
 from wardflow.llm.simhash import op7_simhash
+from wardflow.llm.word_bpe import op5_word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_decontaminate": op2_decontaminate,
     "op3_secrets": op3_secrets,
+    "op5_word_bpe": op5_word_bpe,
     "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
     "op9_packed_ids": op9_packed_ids,
