@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wardflow.llm.chat import op10_chat
 from wardflow.llm.decontaminate import OP2_SQL, op2_decontaminate
 from wardflow.llm.fingerprints import op1_fingerprints
 from wardflow.llm.packed_ids import op9_packed_ids
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
     "op9_packed_ids": op9_packed_ids,
+    "op10_chat": op10_chat,
 }
 ORACLES: dict[str, str] = {
     "op2_decontaminate": OP2_SQL,
