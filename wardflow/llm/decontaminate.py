@@ -152,15 +152,18 @@ def drop_contaminated(
 ) -> DataFrame:
     """``docs`` without the rows that contain an item; each row is judged where it is read."""
     for shared in item_blocks(items, block_words):
+        docs = docs.where(_is_clean(shared, width, threshold)(F.coalesce("text", F.lit(""))))
+    return docs
 
-        @F.pandas_udf("boolean")
-        def clean(batches: Iterator[pd.Series], shared=shared) -> Iterator[pd.Series]:
-            index = Index(shared.value, width, threshold)
-            for batch in batches:
-                yield pd.Series([next(index.contained(t), None) is None for t in batch], dtype="bool")
 
-        docs = docs.where(clean(F.coalesce("text", F.lit(""))))
-    return docs
+def _is_clean(shared: Broadcast, width: int, threshold: float):
+    @F.pandas_udf("boolean")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        index = Index(shared.value, width, threshold)
+        for batch in batches:
+            yield pd.Series([next(index.contained(t), None) is None for t in batch], dtype="bool")
+
+    return clean
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
