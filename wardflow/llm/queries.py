@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wardflow.llm.brown import op4_brown_lm
 from wardflow.llm.chat import op10_chat
 from wardflow.llm.decontaminate import OP2_SQL, op2_decontaminate
 from wardflow.llm.fingerprints import op1_fingerprints
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_decontaminate": op2_decontaminate,
     "op3_secrets": op3_secrets,
+    "op4_brown_lm": op4_brown_lm,
     "op5_word_bpe": op5_word_bpe,
     "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
