@@ -1,0 +1,93 @@
+"""Repeated passages against a dictionary of all windows."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from wardflow.llm import repeats
+
+
+def brute(rows, length):
+    """rows: (order key, doc_id, text); results by position in ``rows``."""
+    seen, out = set(), {}
+    for place in sorted(range(len(rows)), key=lambda k: rows[k][0]):
+        data = (rows[place][2] or "").encode()
+        drop = bytearray(len(data))
+        for i in range(len(data) - length + 1):
+            window = data[i : i + length]
+            if window in seen:
+                drop[i : i + length] = b"\1" * length
+            seen.add(window)
+        kept = bytes(b for b, d in zip(data, drop) if not d)
+        spans = sum(d and (k == 0 or not drop[k - 1]) for k, d in enumerate(drop))
+        out[place] = (rows[place][1], len(data), sum(drop), spans, hashlib.sha256(kept).hexdigest())
+    return sorted(out.values(), key=repr)
+
+
+def run(docs, length):
+    rows = []
+    for r in repeats.find_repeats(docs, length).collect():
+        data = r["text"].encode()
+        kept = repeats.kept_bytes(data, r["starts"], r["ends"])
+        rows.append((r["doc_id"], len(data), len(data) - len(kept), len(r["starts"]), hashlib.sha256(kept).hexdigest()))
+    return sorted(rows, key=repr)
+
+
+def test_small_table(spark, folder):
+    rows = [(r["doc_id"], r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    found = repeats.op8_repeats(spark, folder).collect()
+    wanted = brute(rows, 100)
+    assert sorted((tuple(r) for r in found), key=repr) == wanted
+    assert sum(r[2] for r in wanted) > 0
+
+
+@pytest.mark.parametrize("length", [8, 20, 37])
+@pytest.mark.parametrize("common", [False, True])
+def test_random_texts(spark, monkeypatch, length, common):
+    """Texts cut from a few passages, periodic ones too; with and without common anchors."""
+    rng = random.Random(length)
+    passages = ["".join(rng.choice("abé ") for _ in range(rng.randint(3, 90))) for _ in range(12)] + ["a" * 70, "ab" * 40]
+    texts = ["".join(p[rng.randint(0, 5) :] for p in rng.choices(passages, k=rng.randint(0, 5))) for _ in range(60)]
+    if common:
+        monkeypatch.setattr(repeats, "SAMPLE", 1)
+        monkeypatch.setattr(repeats, "COMMON", 3)
+    rows = [(k, k, t) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame([r[1:] for r in rows], "doc_id long, text string").repartition(3)
+    assert run(docs, length) == brute(rows, length)
+
+
+def test_runs_cover_all_windows(monkeypatch):
+    data = np.random.default_rng(1).integers(97, 100, 5000, dtype=np.uint8).tobytes()
+    whole = repeats.runs_of(data, 20)
+    assert whole[2].sum() == len(data) - 19
+    monkeypatch.setattr(repeats, "CHUNK", 700)
+    h, first, count, place = repeats.runs_of(data, 20)
+    assert count.sum() == len(data) - 19 and (first == np.cumsum(count) - count).all()
+    anchors = {(int(a), int(f + k)) for a, f, n, p in zip(*whole[:1], *whole[1:2], whole[2], whole[3]) for k in range(n)}
+    assert anchors == {(int(a), int(f + k)) for a, f, n in zip(h, first, count) for k in range(n)}
+
+
+def test_compare_in_small_portions(spark):
+    data = [(7, k, 0, 3, 2, bytearray(b"abcdefgh"[:8])) for k in range(9)] + [(8, 1, 5, 1, 0, bytearray(b"zzzzzz"))]
+    runs = spark.createDataFrame(data, "h long, key long, start long, windows int, place int, data binary")
+    found = repeats.compare_runs(runs, 6, held=2).collect()
+    assert sorted(tuple(r) for r in found) == [(k, 0, 3) for k in range(1, 9)]
+
+
+def test_odd_rows(spark):
+    long = "x1y2z3" * 30
+    rows = [(None, long, "t"), (2, None, "t"), (1, long, "t"), (1, long, "t"), (1, "short", "t"), (3, "q" + long + "q", "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string")
+    found = run(docs, 50)
+    data = long.encode()
+    own = lambda i, kept, spans: (i, len(data), len(data) - len(kept), spans, hashlib.sha256(kept).hexdigest())
+    # A period of six bytes: all but the first 6 windows of the first text repeat.
+    assert own(None, data[:6], 1) in found
+    assert found.count(own(1, b"", 1)) == 2
+    assert (2, 0, 0, 0, hashlib.sha256(b"").hexdigest()) in found and (1, 5, 0, 0, hashlib.sha256(b"short").hexdigest()) in found
+    assert (3, len(data) + 2, len(data), 1, hashlib.sha256(b"qq").hexdigest()) in found
+    assert repeats.find_repeats(docs.limit(0)).count() == 0

@@ -12,6 +12,7 @@ from wardflow.llm.decontaminate import OP2_SQL, op2_decontaminate
 from wardflow.llm.fingerprints import op1_fingerprints
 from wardflow.llm.packed_ids import op9_packed_ids
 from wardflow.llm.quality import op6_quality
+from wardflow.llm.repeats import op8_repeats
 from wardflow.llm.secrets import op3_secrets
 from wardflow.llm.simhash import op7_simhash
 from wardflow.llm.word_bpe import op5_word_bpe
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_word_bpe": op5_word_bpe,
     "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
+    "op8_repeats": op8_repeats,
     "op9_packed_ids": op9_packed_ids,
     "op10_chat": op10_chat,
 }
