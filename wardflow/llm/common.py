@@ -31,14 +31,30 @@ def fold_of(doc_id, folds: int):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+_holder = None
+
+
+def hold(owner) -> None:
+    """``owner`` is about to grow: what another operator has kept in this worker process goes."""
+    global _holder
+    if _holder is not owner:
+        if _holder is not None:
+            _holder.clear()
+        _holder = owner
+
+
 class Cache(dict):
-    """A dict that computes what it lacks, and starts anew beyond ``limit`` entries."""
+    """A dict that computes what it lacks, and starts anew beyond ``limit`` entries.
+
+    Worker processes outlive tasks, and only one cache at a time is kept in each.
+    """
 
     def __init__(self, compute: Callable, limit: int = 400_000):
         super().__init__()
         self.compute, self.limit = compute, limit
 
     def __missing__(self, key):
+        hold(self)
         if len(self) >= self.limit:
             self.clear()
         value = self[key] = self.compute(key)

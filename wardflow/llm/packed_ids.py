@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wardflow.llm.common import table, texts
+from wardflow.llm.common import hold, table, texts
 from wardflow.session import durable
 
 MAGIC = b"WIDS"
@@ -135,8 +135,12 @@ class ByteEncoder:
         self.known: dict[str, bytes] = {}  # ids as little-endian u4
         self.limit = limit
 
+    def clear(self) -> None:
+        self.known.clear()
+
     def __call__(self, batch: Iterable[str]) -> list[np.ndarray]:
         batch = list(batch)
+        hold(self)
         plain = [bool(self.PLAIN.fullmatch(t)) and not any(s in t for s in self.special) for t in batch]
         out = []
         for text, simple in zip(batch, plain):

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import table, texts, word_bounds
+from wardflow.llm.common import hold, table, texts, word_bounds
 from wardflow.session import durable
 
 TRAIN_WINDOWS = 3_000
@@ -170,9 +170,14 @@ class WordScores:
     LIMIT = 300_000
 
     def __init__(self, model: Field):
-        self.model, self.known, self.values = model, {}, np.zeros((1024, 9))
+        self.model = model
+        self.clear()
+
+    def clear(self) -> None:
+        self.known, self.values = {}, np.zeros((1024, 9))
 
     def places(self, words: list[bytes]) -> np.ndarray:
+        hold(self)
         missing = set(words).difference(self.known)
         if len(self.known) + len(missing) > self.LIMIT and self.known:
             self.known, missing = {}, set(words)
