@@ -37,7 +37,7 @@ from wardflow.session import durable
 RADIUS = 3
 WIDTH = 3
 #: Fingerprints that a shard should hold, and the most that are sampled for the upper levels.
-SHARD_ROWS = 2_000
+SHARD_ROWS = 50_000
 MAX_SAMPLE = 200_000
 LEAF = 256
 LOWEST = -(2**63)
