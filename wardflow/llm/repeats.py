@@ -47,7 +47,7 @@ CHUNK, PLACE_BITS = 1 << 23, np.uint64(24)
 #: One in so many documents is looked at for common anchors; how often such an anchor is seen there
 #: at least; the most anchors that are treated so (8 bytes each are broadcast).
 SAMPLE, COMMON, MOST_COMMON = 64, 16, 1_000_000
-HELD_RUNS = 3_000_000
+HELD_RUNS = 1_000_000
 #: A run's windows and its anchor's place in one number; the last place says that it is a single window.
 SHIFT, SINGLE = 12, (1 << 12) - 1
 
@@ -301,11 +301,23 @@ def find_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     wanted = wanted.select("key", *[F.col(f"own.{c}").alias(c) for c in ("h", "start", "windows", "place")])
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts, pieces, held = [], [], 0
+
+        def frame() -> pd.DataFrame:
+            h, key, start, windows, place = (np.concatenate(p) for p in zip(*parts))
+            return pd.DataFrame({"h": h, "key": key, "start": start, "windows": windows, "place": place, "data": pieces})
+
         for batch in batches:
             for key, text, h, start, windows, place in zip(*(batch[c] for c in ("key", "text", "h", "start", "windows", "place"))):
                 data = text.encode()
-                pieces = [data[a : a + n + length - 1] for a, n in zip(start.tolist(), windows.tolist())]
-                yield pd.DataFrame({"h": h, "key": key, "start": start, "windows": windows, "place": place, "data": pieces})
+                parts.append((h, np.full(len(h), key, dtype=np.int64), start, windows, place))
+                pieces += [data[a : a + n + length - 1] for a, n in zip(start.tolist(), windows.tolist())]
+                held += len(h)
+                if held >= 20_000:
+                    yield frame()
+                    parts, pieces, held = [], [], 0
+        if parts:
+            yield frame()
 
     runs = dealt.join(wanted, "key").select("key", "text", "h", "start", "windows", "place")
     runs = runs.mapInPandas(fetch, "h long, key long, start long, windows int, place int, data binary")
