@@ -7,28 +7,13 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tests_support import write_extract
 from wardflow.plans.features import build_features, save_features
 from wardflow.plans.ingest import ingest
 from wardflow.plans.prepare import preprocess
-from wardflow.schemas import DRUGS, FEATURES, RAW_TYPES
+from wardflow.schemas import FEATURES
 from wardflow.sources.tables import read_features, read_tables
 
-GIVEN = [
-    # encounter, patient, age, gender, race, admission, discharge, stay, labs, meds, diagnoses, readmitted, code, drugs
-    (200, 1, "[10-20)", "Female", "Caucasian", 1, 1, 2, 10, 4, 3, ">30", "250.83", {"insulin": "Up"}),
-    (100, 1, "[20-30)", "Female", "?", 2, 3, 5, 40, 9, 7, "<30", "41", {"metformin": "Steady"}),
-    (300, 2, "[0-10)", "Unknown/Invalid", "Asian", 3, 1, 1, 5, 2, 1, "NO", "?", {"insulin": "?"}),
-]
-
-
-def write_extract(path, rows=GIVEN):
-    lines = [",".join(["weight", *RAW_TYPES])]  # an unused column first: columns are found by name
-    for row in rows:
-        *fields, drugs = row
-        lines.append(",".join(["?", *map(str, fields), *[drugs.get(d, "No") for d in DRUGS]]))
-    path.write_text("\n".join(lines) + "\n")
-    return str(path)
-
 
 @pytest.fixture(scope="module")
 def loaded(spark, tmp_path_factory):
@@ -122,8 +107,9 @@ def test_append_adds_rows_and_overwrite_replaces_them(spark, tmp_path):
     ingest(spark, source, out)
     ingest(spark, source, out)
     assert read_tables(spark, out)["encounters"].count() == 3
-    ingest(spark, source, out, mode="append")
-    assert read_tables(spark, out)["encounters"].count() == 6
+    with pytest.raises(ValueError, match="stored already"):
+        ingest(spark, source, out, mode="append")
+    assert read_tables(spark, out)["encounters"].count() == 3
 
 
 def test_file_order_across_many_blocks(spark, tmp_path):

@@ -64,44 +64,65 @@ def length_violations(df: DataFrame, key: str, limits: dict[str, int]) -> DataFr
     return found.select(key, "bad.column_name", "bad.n_chars")
 
 
-def _length_counts(name: str, df: DataFrame, definition: TableDefinition) -> DataFrame:
-    """One row per length limit, all counted in one pass over the table."""
-    counted = df.agg(
-        *[F.count(F.when(F.char_length(c) > width, 1)).alias(c) for c, width in definition.max_lengths]
-    )
-    rows = [
-        F.struct(
-            F.lit(name).alias("table_name"),
-            F.lit(f"length of {c}").alias("constraint_name"),
-            F.col(c).alias("violations"),
-        )
-        for c, _ in definition.max_lengths
-    ]
-    return counted.select(F.inline(F.array(*rows)))
+def check_tables(tables: dict[str, DataFrame], definitions: dict[str, TableDefinition]) -> DataFrame:
+    """Number of violations per declared constraint of all given tables.
 
+    Each table is read once and there is one shuffle: a row gives one mark for its primary key, one
+    for each foreign key (under the parent's key) and one for each value that is too long.
+    Marks are counted per key and constraint, so keys of parent and children meet in one group.
+    A table without its key column breaks the primary key with every row.
+    """
+    names: list[tuple[str, str]] = []
+    counts: list[Column] = []
+    marks: list[DataFrame] = []
+    domains = {name: d for d, name in enumerate(definitions)}
+    own = {name: F.col("domain") == d for name, d in domains.items()}
+    primary: dict[str, int] = {}
 
-def check_tables(tables: dict[str, DataFrame], definitions: dict[str, TableDefinition]) -> DataFrame:
-    """Number of violations per declared constraint of all given tables."""
-    results = []
+    def tally(number: int) -> str:
+        return f"n_{number}"
 
-    def add(table: str, constraint: str, violations: DataFrame) -> None:
-        results.append(
-            violations.agg(F.count(F.lit(1)).alias("violations")).select(
-                F.lit(table).alias("table_name"), F.lit(constraint).alias("constraint_name"), "violations"
-            )
-        )
+    def add(table: str, constraint: str) -> int:
+        names.append((table, constraint))
+        return len(names) - 1
 
+    def mark(domain: int, value: Column, number: int) -> Column:
+        return F.struct(F.lit(domain).alias("domain"), value.cast("string").alias("value"), F.lit(number).alias("number"))
+
+    for name, definition in definitions.items():
+        primary[name] = add(name, f"primary key {definition.primary_key}")
+        foreign = [(fk, add(name, f"foreign key {fk.column}")) for fk in definition.foreign_keys]
+        lengths = [(c, width, add(name, f"length of {c}")) for c, width in definition.max_lengths or ()]
+        df, key = tables[name], definition.primary_key
+        value = F.col(key) if key in df.columns else F.lit(None)
+        found = [mark(domains[name], value, primary[name])]
+        found += [F.when(F.col(fk.column).isNotNull(), mark(domains[fk.parent], F.col(fk.column), n)) for fk, n in foreign]
+        found += [F.when(F.char_length(c) > width, mark(-1, F.lit(""), n)) for c, width, n in lengths]
+        marks.append(df.select(F.explode(F.filter(F.array(*found), lambda m: m.isNotNull())).alias("m")).select("m.*"))
     for name, definition in definitions.items():
-        df = tables[name]
-        if definition.primary_key in df.columns:
-            key = definition.primary_key
-            add(name, f"primary key {key}", primary_key_violations(df, key))
-        for fk in definition.foreign_keys:
-            bad = foreign_key_violations(df, fk.column, tables[fk.parent], fk.parent_column)
-            add(name, f"foreign key {fk.column}", bad)
-        if definition.max_lengths:
-            results.append(_length_counts(name, df, definition))
-    return reduce(DataFrame.unionByName, results)
+        key = F.col(tally(primary[name]))
+        if definition.primary_key in tables[name].columns:
+            bad = own[name] & ((key > 1) | (F.col("value").isNull() & (key > 0)))
+            counts.append(F.count(F.when(bad, 1)))
+        else:
+            counts.append(F.coalesce(F.sum(F.when(own[name], key)), F.lit(0)).cast("bigint"))
+        first = primary[name] + 1
+        for place, fk in enumerate(definition.foreign_keys):
+            orphan = own[fk.parent] & (F.col(tally(first + place)) > 0) & (F.col(tally(primary[fk.parent])) == 0)
+            counts.append(F.count(F.when(orphan, 1)))
+        first += len(definition.foreign_keys)
+        counts += [
+            F.coalesce(F.sum(tally(first + place)), F.lit(0)).cast("bigint") for place in range(len(definition.max_lengths or ()))
+        ]
+    per_key = reduce(DataFrame.unionByName, marks).groupBy("domain", "value").agg(
+        *[F.count(F.when(F.col("number") == n, 1)).alias(tally(n)) for n in range(len(names))]
+    )
+    total = per_key.agg(*[c.alias(f"v_{n}") for n, c in enumerate(counts)])
+    rows = [
+        F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("constraint_name"), F.col(f"v_{n}").alias("violations"))
+        for n, (t, c) in enumerate(names)
+    ]
+    return total.select(F.inline(F.array(*rows)))
 
 
 def scoring_rules() -> dict[str, Column]:

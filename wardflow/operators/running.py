@@ -57,12 +57,21 @@ def running(
     ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     ranged = durable(ranged.withColumn(_RANGE, F.spark_partition_id()), "ranges")
 
+    # Fixed-width columns can be combined in a hash table; a struct or text would be sorted first.
     key = F.struct(*[F.col(g) for g in group], F.lit(0).alias("__all"))
     names = ["__rows", *[f"__sum_{s}" for s in sums]]
     totals = [F.count(F.lit(1)), *[F.coalesce(F.sum(s).cast("bigint"), F.lit(0).cast("bigint")) for s in sums]]
     totals = [t.alias(n) for t, n in zip(totals, names)]
+    if not group:
+        first, last = key, key
+    elif len(group) == 1:
+        null_first, null_last = F.max(F.col(group[0]).isNull()), F.min(F.col(group[0]).isNull())
+        edge = lambda value, null: F.struct(F.when(~null, value).alias(group[0]), F.lit(0).alias("__all"))
+        first, last = edge(F.min(group[0]), null_first), edge(F.max(group[0]), null_last)
+    else:
+        first, last = F.min(key), F.max(key)
     ends = ranged.groupBy(_RANGE).agg(
-        F.min(key).alias(_FIRST), F.max(key).alias(_LAST), *([] if group else totals)
+        first.alias(_FIRST), last.alias(_LAST), *([] if group else totals)
     )
     stats = ends.toArrow().sort_by(_RANGE)  # one row per range
     if group:
@@ -94,9 +103,29 @@ def running(
     return placed.select(*df.columns, *added)
 
 
-def dense_ids(df: DataFrame, name: str, order: Sequence[Column]) -> DataFrame:
-    """Consecutive ids from 1 in the given order, first column of the result."""
-    return running(df, order, position=name).select(name, *df.columns)
+def dense_ids(df: DataFrame, name: str, order: Sequence[Column], start: int = 0) -> DataFrame:
+    """Consecutive ids from ``start`` + 1 in the given order, first column of the result.
+
+    The sorted ranges are stored, and a row's place is its row number in its file plus the
+    rows of the files before it: one shuffle, and no second sort.
+    """
+    if name in df.columns:
+        raise ValueError(f"the table already has a column {name}")
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    stored = durable(ranged.withColumn(_RANGE, F.spark_partition_id()), "ranges")
+    place, file = F.col("_metadata.row_index"), F.col("_metadata.file_path")
+    # A range may be written as several files, in order; their names sort as they were written.
+    ends = stored.groupBy(F.col(_RANGE), file.alias("__file")).agg(F.count(F.lit(1)).alias("__rows"))
+    sizes = ends.toArrow().sort_by([(_RANGE, "ascending"), ("__file", "ascending")])  # one row per file
+    before, total = [], start
+    for rows in sizes["__rows"].to_pylist():
+        before.append(total)
+        total += rows
+    offsets = df.sparkSession.createDataFrame(
+        sizes.select(["__file"]).append_column("__before", pa.array(before, pa.int64())), "__file string, __before long"
+    )
+    numbered = stored.withColumns({"__place": place, "__file": file}).join(F.broadcast(offsets), "__file")
+    return numbered.select((F.col("__before") + F.col("__place") + 1).alias(name), *df.columns)
 
 
 def unique_ids(df: DataFrame, name: str) -> DataFrame:

@@ -94,7 +94,11 @@ def fill_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns(filled)
 
 
-def categories(df: DataFrame, columns: Sequence[str], max_categories: int = 1000) -> dict[str, list[str]]:
+#: A dummy column per value: what one encoder can hold unless a caller allows more.
+MAX_CATEGORIES = 1000
+
+
+def categories(df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES) -> dict[str, list[str]]:
     """Sorted distinct values per column, null counted as 'Unknown'. Too many values raise an error."""
     found = {}
     for c in columns:
@@ -130,9 +134,8 @@ def value_shares(df: DataFrame, column: str) -> DataFrame:
     """Rows and share (3 decimals) per value of a class column."""
 
     filled = df.where(F.col(column).isNotNull())
-    total = filled.count()
     counted = filled.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
-    return counted.withColumn("share", ratio_half_up(F.col("n_rows"), F.lit(total), digits=3))
+    return counted.withColumn("share", ratio_half_up(F.col("n_rows"), F.lit(filled.count()), digits=3))
 
 
 def class_ratio(df: DataFrame, label: str) -> DataFrame:

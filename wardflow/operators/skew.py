@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 # A key is hot when it has at least this many rows and this share of its table.
 HOT_ROWS = 1_000_000
 HOT_SHARE = 4096
-# Items a sketch keeps; its count error is about 3.5 / 131072 of the rows, well
-# below 1 / HOT_SHARE, so no hot key is missed.
-SKETCH_ITEMS = 98_000
+# Rows are first counted in so many buckets of keys; only full buckets are looked into.
+BUCKETS = 65_536
 
 
 @dataclass(frozen=True)
@@ -40,19 +39,23 @@ class HotKeys:
 
 
 def hot_keys(df: DataFrame, column: str, min_rows: int = HOT_ROWS) -> HotKeys:
-    """Find the hot keys of ``column`` with a mergeable sketch, without a shuffle of the keys.
+    """Find the hot keys of ``column`` exactly, without a shuffle of the keys.
 
-    The answer decides only where rows are processed, never which rows are in a
-    result, so an approximate count is enough. A table too small to hold a hot
-    key is settled by its row count.
+    One pass counts rows per hash bucket; each task sends at most one row per bucket. Only buckets
+    that could hold a hot key, no more than ``HOT_SHARE``, are then counted by key, and
+    most tables have none. The answer decides where rows are processed, never which are in a result.
     """
-    rows = df.count()
-    if rows < min_rows:
+    bucket = F.pmod(F.xxhash64(column), F.lit(BUCKETS)).cast("int").alias("bucket")
+    counts = df.groupBy(bucket).agg(F.count(F.lit(1)).alias("n")).toArrow()  # at most BUCKETS rows
+    sizes = dict(zip(counts["bucket"].to_pylist(), counts["n"].to_pylist()))
+    floor = max(min_rows, sum(sizes.values()) // HOT_SHARE)
+    full = [b for b, n in sizes.items() if n >= floor]
+    if not full:
         return HotKeys(column)
-    top = df.select(F.expr(f"approx_top_k(`{column}`, {HOT_SHARE}, {SKETCH_ITEMS})")).first()[0]
-    floor = max(min_rows, rows // HOT_SHARE)
-    found = [item["item"] for item in top or () if item["count"] >= floor]
-    return HotKeys(column, tuple(k for k in found if k is not None), None in found)
+    inside = df.select(column, bucket).where(F.col("bucket").isin(full))
+    counted = inside.groupBy(column).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= floor)
+    found = [row[column] for row in counted.collect()]  # at most HOT_SHARE + 1 rows
+    return HotKeys(column, tuple(sorted(k for k in found if k is not None)), None in found)
 
 
 def skew_join(

@@ -88,6 +88,10 @@ def synthetic_date(number: Column) -> Column:
 
 
 def keep_first(df: DataFrame, key: str, order: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """One row per key: the one that is first by ``order``. Combines before the shuffle, no sort."""
+    """One row per key: the one that is first by ``order``.
+
+    Each task combines its own rows before the shuffle. The combined value is a struct, so Spark
+    sorts a task's rows by key to do so.
+    """
     first = F.min_by(F.struct(*columns), F.struct(*order)).alias("__first")
     return df.groupBy(key).agg(first).select(key, *[F.col(f"__first.{c}").alias(c) for c in columns])

@@ -33,3 +33,18 @@ def explore(spark: SparkSession, text: str) -> Exploration:
     observation = Observation()
     observed = frame.observe(observation, F.count(F.lit(1)).alias("rows"))
     return Exploration(observed, observation=observation)
+
+
+def execute(spark: SparkSession, text: str, path: str) -> Exploration:
+    """Run one read query into a parquet folder; errors at run time become the error text as well.
+
+    The frame of the result reads the folder, and the row count is known.
+    """
+    found = explore(spark, text)
+    if found.frame is None:
+        return found
+    try:
+        found.frame.write.parquet(path)
+    except PySparkException as error:
+        return Exploration(None, str(error))
+    return Exploration(spark.read.schema(found.frame.schema).parquet(path), observation=found.observation)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +15,11 @@ from wardflow.functions.values import (
 )
 from wardflow.operators.running import dense_ids
 from wardflow.operators.shaping import active_drugs
-from wardflow.operators.skew import HotKeys
+from wardflow.operators.skew import HotKeys, skew_join
 from wardflow.operators.visits import keep_first, synthetic_date, visit_number
 from wardflow.schemas import DRUGS
-from wardflow.session import durable
-from wardflow.sources.tables import FILE_ORDER, read_raw_csv, write_tables
+from wardflow.session import durable, table_exists, work_tables
+from wardflow.sources.tables import FILE_ORDER, read_raw_csv, read_tables, write_tables
 
 _SNAPSHOT = {
     "age": "age",
@@ -35,9 +37,16 @@ def patients_table(raw: DataFrame, order: str = FILE_ORDER) -> DataFrame:
     return first.withColumnsRenamed({"patient_nbr": "patient_id", **_SNAPSHOT})
 
 
-def encounters_table(raw: DataFrame, hot: HotKeys | None = None) -> DataFrame:
-    """One row per encounter, dated by the patient's visit number in id order."""
+def encounters_table(raw: DataFrame, hot: HotKeys | None = None, earlier: DataFrame | None = None) -> DataFrame:
+    """One row per encounter, dated by the patient's visit number in id order.
+
+    ``earlier`` holds encounters that are stored already: a patient's visits go on after them.
+    """
     numbered = visit_number(raw, "patient_nbr", "encounter_id", hot=hot)
+    if earlier is not None:
+        before = earlier.groupBy(F.col("patient_id").alias("patient_nbr")).agg(F.count(F.lit(1)).alias("visits_before"))
+        numbered = skew_join(numbered, before, "patient_nbr", "left", hot)
+        numbered = numbered.withColumn("visit_number", F.col("visit_number") + F.coalesce("visits_before", F.lit(0)))
     return numbered.select(
         "encounter_id",
         F.col("patient_nbr").alias("patient_id"),
@@ -50,7 +59,7 @@ def encounters_table(raw: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     )
 
 
-def diagnoses_table(raw: DataFrame, ids: bool = True) -> DataFrame:
+def diagnoses_table(raw: DataFrame, ids: bool = True, start: int = 0) -> DataFrame:
     """The primary diagnosis of every encounter with its group."""
     rows = raw.select(
         "patient_nbr",
@@ -59,11 +68,11 @@ def diagnoses_table(raw: DataFrame, ids: bool = True) -> DataFrame:
         diagnosis_group(F.col("diag_1")).alias("diagnosis_group"),
     )
     if ids:
-        rows = dense_ids(rows, "diagnosis_id", [F.col("patient_nbr"), F.col("encounter_id")])
+        rows = dense_ids(rows, "diagnosis_id", [F.col("patient_nbr"), F.col("encounter_id")], start)
     return rows.drop("patient_nbr")
 
 
-def medications_table(raw: DataFrame, ids: bool = True) -> DataFrame:
+def medications_table(raw: DataFrame, ids: bool = True, start: int = 0) -> DataFrame:
     """One row per drug given in an encounter, numbered drug by drug."""
     rows = active_drugs(raw, ["patient_nbr", "encounter_id"], DRUGS)
     if ids:
@@ -72,6 +81,7 @@ def medications_table(raw: DataFrame, ids: bool = True) -> DataFrame:
             rows.withColumn("drug_place", drug_place),
             "medication_id",
             [F.col("drug_place"), F.col("patient_nbr"), F.col("encounter_id")],
+            start,
         ).drop("drug_place")
     return rows.drop("patient_nbr")
 
@@ -86,16 +96,45 @@ def normalise(raw: DataFrame, ids: bool = True, order: str = FILE_ORDER) -> dict
     }
 
 
+def after_stored(raw: DataFrame, stored: Mapping[str, DataFrame], ids: bool = True) -> dict[str, DataFrame]:
+    """The rows that appending ``raw`` adds to the stored tables.
+
+    A patient who is stored keeps the stored row. Visit numbers and ids go on after the
+    stored ones. An encounter that is stored already raises, as a primary key would.
+    """
+    known = stored["encounters"].select("encounter_id")
+    repeated = raw.select("encounter_id").join(known, "encounter_id", "left_semi").limit(3).collect()
+    if repeated:
+        raise ValueError(f"encounters are stored already, such as {[r['encounter_id'] for r in repeated]}")
+
+    def last(table: str, column: str) -> int:
+        return (stored[table].agg(F.max(column)).first()[0] or 0) if ids else 0
+
+    known_patients = stored["patients"].select("patient_id")
+    return {
+        "patients": patients_table(raw).join(known_patients, "patient_id", "left_anti"),
+        "encounters": encounters_table(raw, earlier=stored["encounters"]),
+        "diagnoses": diagnoses_table(raw, ids, last("diagnoses", "diagnosis_id")),
+        "medications": medications_table(raw, ids, last("medications", "medication_id")),
+    }
+
+
 def ingest(
-    spark: SparkSession, csv_path: str, out_dir: str, mode: str = "overwrite", ids: bool = True
+    spark: SparkSession, csv_path: str | Sequence[str], out_dir: str, mode: str = "overwrite", ids: bool = True
 ) -> dict[str, int]:
     """Load a raw CSV extract, write the four tables as parquet folders, return the rows written.
 
     The cleaned scan is written once: it fixes the file order, and each of the four
-    writes then reads only its own columns.
+    writes then reads only its own columns. ``append`` adds to tables that are there
+    (see ``after_stored``) and to empty ones where there are none.
     """
-    raw = durable(read_raw_csv(spark, csv_path), "raw")
-    tables = normalise(raw, ids)
-    for name in ("patients", "encounters"):
-        tables[name] = tables[name].withColumn("created_at", F.current_timestamp())
-    return write_tables(tables, out_dir, mode)
+    with work_tables(spark):
+        raw = durable(read_raw_csv(spark, csv_path), "raw")
+        if mode == "append" and table_exists(spark, f"{out_dir}/encounters"):
+            # The new rows are stored before any is appended: the tables they are derived from then change.
+            tables = {n: durable(df, n) for n, df in after_stored(raw, read_tables(spark, out_dir), ids).items()}
+        else:
+            tables = normalise(raw, ids)
+        for name in ("patients", "encounters"):
+            tables[name] = tables[name].withColumn("created_at", F.current_timestamp())
+        return write_tables(tables, out_dir, mode)

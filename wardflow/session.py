@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,19 +31,30 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
     return builder.getOrCreate()
 
 
+def _is_single_machine(master: str) -> bool:
+    return re.fullmatch(r"local(\[[^\]]*\])?", master) is not None
+
+
 def work_folder(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session may
-    fall back to a temporary folder: on a cluster that would be machine-local.
+    The cluster names it in ``spark.checkpoint.dir``, with the scheme of its store. Only a
+    session on one machine may fall back to a temporary folder, or name a path without a
+    scheme that leads to its own disk: on a cluster both would be machine-local. A path that
+    says ``file:`` itself is taken as it is, since a mounted shared disk is named so.
     """
     context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
+    alone = _is_single_machine(context.master)
     if not folder:
-        if not context.master.startswith("local"):
+        if not alone:
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="wardflow-"))
         folder = context.getCheckpointDir()
+    elif not alone and "://" not in folder and not folder.startswith("file:"):
+        default = context._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+        if default.startswith("file:"):
+            raise RuntimeError(f"{folder} has no scheme and would be on each machine's own disk")
     return folder.rstrip("/")
 
 
@@ -50,13 +65,48 @@ def enable_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(folder)
 
 
+def _path(spark: SparkSession, path: str):
+    """The Hadoop path and its file system."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    found, system = _path(spark, path)
+    return system.exists(found)
+
+
+_owned: ContextVar[list[str] | None] = ContextVar("wardflow_work_tables", default=None)
+
+
+@contextmanager
+def work_tables(spark: SparkSession) -> Iterator[None]:
+    """Own the tables that ``durable`` writes inside: they are deleted at the end.
+
+    For jobs whose result is stored, or small, before the block ends. A frame that is
+    returned lazily must not depend on them. Nested blocks delete their own.
+    """
+    mine: list[str] = []
+    token = _owned.set(mine)
+    try:
+        yield
+    finally:
+        _owned.reset(token)
+        for path in mine:
+            found, system = _path(spark, path)
+            system.delete(found, True)
+
+
 def durable(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared work folder and read it back.
 
     Cuts the lineage: values that depend on one evaluation (partition numbers,
     scan positions) are fixed in the files, so a lost executor cannot change
-    them, and readers take only the columns they need.
+    them, and readers take only the columns they need. Inside ``work_tables`` the copy is
+    deleted with the block; else it stays until the cluster clears the folder.
     """
     path = f"{work_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    if (mine := _owned.get()) is not None:
+        mine.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
