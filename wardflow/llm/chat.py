@@ -262,3 +262,24 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     more = spark.createDataFrame([(-7, 0, "user", trap), (-7, 1, "assistant", trap)], "conv_id long, turn long, role string, text string")
     pieces = durable(format_conversations(as_parts(said.union(more))), "chat")
     return read_conversations(pieces)
+
+
+OP10_SQL = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+  SELECT *, 2 * length(text) - length(replace(replace(text, '[', ''), '<', ''))
+    + CASE role WHEN 'user' THEN 20 WHEN 'assistant' THEN 7
+      ELSE 20 + 2 * length(role) - length(replace(replace(role, '[', ''), '<', '')) END AS chars
+  FROM said
+)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars,
+  CAST(0 AS BIGINT) AS n_attachments, CAST(0 AS BIGINT) AS attachment_tokens
+FROM sized GROUP BY conv_id
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.llm.brown import op4_brown_lm
-from wardflow.llm.chat import op10_chat
+from wardflow.llm.chat import OP10_SQL, op10_chat
 from wardflow.llm.decontaminate import OP2_SQL, op2_decontaminate
 from wardflow.llm.fingerprints import op1_fingerprints
 from wardflow.llm.packed_ids import op9_packed_ids
@@ -31,4 +31,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op2_decontaminate": OP2_SQL,
+    "op10_chat": OP10_SQL,
 }
