@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -61,6 +62,13 @@ class Cache(dict):
         return value
 
 
+def slices(batches: Iterable[pd.DataFrame], rows: int = 1_000) -> Iterator[pd.DataFrame]:
+    """The batches in pieces of at most ``rows`` rows, so that what a piece gives is sent on before the next."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.iloc[at : at + rows]
+
+
 def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Byte offsets where the words of ``data`` start and end."""
     space = np.ones(len(data) + 2, dtype=bool)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wardflow.llm.common import mix, table, texts
+from wardflow.llm.common import mix, slices, table, texts
 from wardflow.session import durable
 
 LENGTH = 100
@@ -328,7 +328,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     both = dealt.join(spans, "key", "left").select("key", "doc_id", "text", "start", "windows")
 
     def unite(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in slices(batches):
             found = []
             for start, windows in zip(batch["start"], batch["windows"]):
                 if start is None:

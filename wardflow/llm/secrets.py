@@ -291,7 +291,8 @@ def train(docs: DataFrame, train_windows: int = TRAIN_WINDOWS) -> Field | None:
             yield frame.drop_duplicates()
 
     found = texts(docs).mapInPandas(work, "match boolean, words binary, tags binary, names string")
-    found = durable(found.where(F.length("words") < 4096).distinct(), "windows")  # equal windows say nothing new
+    # Equal windows say nothing new; the few with a word of thousands of characters are no use for training.
+    found = durable(found.where(F.length("words") < 4096).distinct(), "windows")
     first = [F.xxhash64("words", "tags", "names"), "words", "tags", "names"]
     sample = []
     for match in (True, False):

@@ -31,7 +31,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import Cache, put_file, table, texts
+from wardflow.llm.common import Cache, put_file, slices, table, texts
 from wardflow.llm.lexicon import Lexicon, build
 from wardflow.session import durable
 
@@ -182,7 +182,7 @@ def count_words(docs: DataFrame, spec) -> DataFrame:
         for batch in batches:
             for text in batch["text"]:
                 counts.update(coder.words(text))
-            if len(counts) > 500_000:
+            if len(counts) > 300_000:
                 yield frame(counts)
                 counts.clear()
         yield frame(counts)
@@ -230,7 +230,7 @@ def _coded(docs: DataFrame, tokenizer: str, share: float, show, fields: str) ->
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = word_bpe(spec.value, name)
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for text in batch["text"]:
                 ids, tokens, count = coder.joined(text)
