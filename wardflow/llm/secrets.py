@@ -167,7 +167,7 @@ class Field:
 class WordScores:
     """Scores of words seen so far: for themselves, for the word after, for the word before."""
 
-    LIMIT = 300_000
+    LIMIT = 600_000
 
     def __init__(self, model: Field):
         self.model = model
