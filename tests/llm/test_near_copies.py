@@ -1,0 +1,105 @@
+"""Near copies against brute-force Jaccard likeness of 5-word shingles."""
+
+from __future__ import annotations
+
+import random
+from fractions import Fraction
+
+import pytest
+
+import corpus_pipeline
+from wardflow.llm import near, simhash
+
+SCHEMA = "doc_id long, text string, extra string"
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    n = min(5, len(words))
+    return frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1)) if words else frozenset()
+
+
+def kept_slowly(rows):
+    """Ids of the smallest row of each component of pairs with likeness of 0.8 or more."""
+    rows = sorted(rows)
+    sets = [shingles(t) for _, t in rows]
+    label = list(range(len(rows)))
+    changed = True
+    while changed:
+        changed = False
+        for i in range(len(rows)):
+            for j in range(len(rows)):
+                if label[j] < label[i] and (sets[i] == sets[j] or Fraction(len(sets[i] & sets[j]), len(sets[i] | sets[j])) >= Fraction(4, 5)):
+                    label[i], changed = label[j], True
+    return sorted({rows[c][0] for c in label})
+
+
+def kept(spark, rows):
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA)
+    found = corpus_pipeline.keep_one_of_near(spark, docs, "")
+    assert found.columns == docs.columns
+    return sorted(r["doc_id"] for r in found.collect())
+
+
+def edited(rng, words, edits):
+    words = list(words)
+    for at in rng.sample(range(len(words)), edits):
+        words[at] = f"new{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def texts(seed):
+    """Texts with 0 to 5 words replaced, chains of copies, a line that many share, and odd ones."""
+    rng = random.Random(seed)
+    rows, line = [], "this line is in very many of the texts here"
+    for _ in range(12):
+        words = [f"w{rng.randrange(400)}" for _ in range(rng.choice([6, 30, 60, 112]))]
+        rows += [edited(rng, words, min(k, len(words) // 6)) for k in (0, 0, 1, 2, 3, 5)]
+        chain = " ".join(words)
+        for _ in range(3):
+            rows.append(chain := edited(rng, chain.split(), 1))
+    rows += [f"{line} {' '.join(f'u{rng.randrange(10**6)}' for _ in range(k))}" for k in range(1, 30)]
+    rows += ["", " ", "one", "One", "a b c d", "a b c e"]
+    ids = rng.sample(range(1000), len(rows))
+    return list(zip(ids, rows))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_brute_force(spark, seed):
+    rows = texts(seed)
+    assert kept(spark, rows) == kept_slowly(rows)
+
+
+def test_one_word_of_112_replaced(spark):
+    """Likeness 0.9, but seldom within 3 bits of the other's SimHash."""
+    rng = random.Random(3)
+    pairs = []
+    for k in range(20):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(112)]
+        pairs += [(2 * k, " ".join(words)), (2 * k + 1, edited(rng, words, 1))]
+    bits = [(simhash.simhash(a[1]) ^ simhash.simhash(b[1])).bit_count() for a, b in zip(pairs[::2], pairs[1::2])]
+    assert max(bits) > simhash.RADIUS
+    assert kept(spark, pairs) == [2 * k for k in range(20)]
+
+
+def test_hub_rounds_of_a_large_group(spark):
+    """One group whose members are not all near its hub: pairs are left after the first round."""
+    rng = random.Random(4)
+    rows = []
+    for k in range(3):
+        words = [f"w{k}x{i}" for i in range(60)]
+        rows += [(k * 100 + i, edited(rng, words, 1 + i % 2)) for i in range(60)]
+    assert kept(spark, rows) == kept_slowly(rows)
+
+
+def test_likeness_at_the_border():
+    assert near.near(9, 9, 8) and not near.near(10, 9, 8)
+    assert [near.prefix_size(n) for n in (0, 1, 4, 5, 6, 10)] == [0, 1, 1, 2, 2, 3]
+
+
+def test_odd_rows(spark):
+    rows = [(5, None), (3, ""), (None, "a b c d"), (4, "A b c d"), (4, "a b c d"), (8, "q w e r t y")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA)
+    found = near.keep_one(docs).collect()
+    assert sorted((r["doc_id"] is not None, r["doc_id"] or 0) for r in found) == [(False, 0), (True, 3), (True, 8)]
+    assert near.keep_one(docs.limit(0)).count() == 0
