@@ -15,6 +15,7 @@ from wardflow.llm.quality import op6_quality
 from wardflow.llm.repeats import op8_repeats
 from wardflow.llm.secrets import op3_secrets
 from wardflow.llm.simhash import op7_simhash
+from wardflow.llm.token_counts import op11_token_counts
 from wardflow.llm.word_bpe import op5_word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeats": op8_repeats,
     "op9_packed_ids": op9_packed_ids,
     "op10_chat": op10_chat,
+    "op11_token_counts": op11_token_counts,
 }
 ORACLES: dict[str, str] = {
     "op2_decontaminate": OP2_SQL,
