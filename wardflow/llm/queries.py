@@ -11,6 +11,7 @@ from wardflow.llm.chat import OP10_SQL, op10_chat
 from wardflow.llm.decontaminate import OP2_SQL, op2_decontaminate
 from wardflow.llm.fingerprints import op1_fingerprints
 from wardflow.llm.packed_ids import op9_packed_ids
+from wardflow.llm.phrases import OP12_SQL, op12_phrases
 from wardflow.llm.quality import op6_quality
 from wardflow.llm.repeats import op8_repeats
 from wardflow.llm.secrets import op3_secrets
@@ -30,8 +31,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packed_ids": op9_packed_ids,
     "op10_chat": op10_chat,
     "op11_token_counts": op11_token_counts,
+    "op12_phrases": op12_phrases,
 }
 ORACLES: dict[str, str] = {
     "op2_decontaminate": OP2_SQL,
     "op10_chat": OP10_SQL,
+    "op12_phrases": OP12_SQL,
 }
