@@ -26,7 +26,9 @@ without frequent phrases, gives no rows. Ties are broken by the order of the res
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -49,10 +51,10 @@ SAMPLE_PART = 4
 SAMPLE_COUNT = 2
 MAX_BITS = 1 << 27
 MIN_BITS = 1 << 20
-#: Words of a segment: three of its word numbers fit into 63 bits.
-SEGMENT = 1 << 20
+#: Words of a segment; three of its word numbers must fit into 63 bits, so 2^20 at most.
+SEGMENT = 1 << 19
 #: Characters of texts that are counted together.
-CHUNK = 1 << 23
+CHUNK = 1 << 21
 #: Words with at least this share of all words are broadcast: no more than 100,000 of them.
 HEAVY = 100_000
 
@@ -74,7 +76,7 @@ def language_seed(lang: str) -> int:
 
 
 def word_hashes(words: Iterable[bytes], seed: int) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), dtype=np.uint64)
+    return np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(seed)), dtype=np.uint64)
 
 
 def pair_hashes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -105,8 +107,10 @@ class Segment:
     """Up to ``SEGMENT`` starting places of phrases, with the two words after the last."""
 
     def __init__(self, words: list[bytes], piece: np.ndarray, starts: int, seed: int):
-        numbers: dict[bytes, int] = {}
-        self.ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), dtype=np.int64, count=len(words))
+        numbers: defaultdict[bytes, int] = defaultdict()
+        numbers.default_factory = numbers.__len__  # a new word gets the next number
+        self.ids = np.fromiter(map(numbers.__getitem__, words), dtype=np.int64, count=len(words))
+        numbers.default_factory = None  # it refers to the dictionary itself
         self.words = list(numbers)
         self.hashes = word_hashes(numbers, seed)
         self.starts = starts
@@ -137,25 +141,32 @@ def segments(texts: list[str], lang: str) -> Iterator[Segment]:
     gap = np.ones(len(raw) + 1, dtype=bool)
     gap[1:] = IS_GAP[raw]
     begins = np.flatnonzero(gap[:-1] & ~gap[1:])
-    piece = np.cumsum(IS_CUT[raw], dtype=np.int64)[begins]
-    words = data.translate(TO_SPACE).split()
-    for at in range(0, len(words), SEGMENT):
-        end = min(at + SEGMENT, len(words))
-        yield Segment(words[at : end + 2], piece[at : end + 2], end - at, language_seed(lang))
+    piece = np.searchsorted(np.flatnonzero(IS_CUT[raw]), begins)
+    del raw, gap
+    for at in range(0, len(begins), SEGMENT):
+        end = min(at + SEGMENT, len(begins))
+        stop = begins[end + 2] if end + 2 < len(begins) else len(data)
+        words = data[begins[at] : stop].translate(TO_SPACE).split()
+        yield Segment(words, piece[at : end + 2], end - at, language_seed(lang))
 
 
 def by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[str]]]:
     """(language, texts) in chunks of about ``CHUNK`` characters, a longer text by itself."""
+    held: dict[str, list[str]] = {}
+    sizes: dict[str, int] = {}
     for batch in batches:
-        held: dict[str, list[str]] = {}
-        sizes: dict[str, int] = {}
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            held.setdefault(lang, []).append(text)
-            sizes[lang] = sizes.get(lang, 0) + len(text)
-            if sizes[lang] >= CHUNK:
-                yield lang, held.pop(lang)
-                del sizes[lang]
-        yield from held.items()
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
+            for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
+                held.setdefault(lang, []).append(text)
+                sizes[lang] = sizes.get(lang, 0) + len(text)
+                if sizes[lang] >= CHUNK:
+                    yield lang, held.pop(lang)
+                    del sizes[lang]
+            if sum(sizes.values()) >= 4 * CHUNK:  # many languages: all go
+                yield from held.items()
+                held, sizes = {}, {}
+    yield from held.items()
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -227,11 +238,14 @@ def _count(rows: DataFrame, before: Members | None, now: Members) -> DataFrame:
                     yield batch(lang, pa.array([""]), np.array([part.starts]))
                 old2, old3 = part.opened(before)
                 new2, new3 = part.opened(now)
-                for width, places, fresh in ((2, part.second, new2 & ~old2), (3, part.third, new3 & ~old3)):
+                new2, new3 = new2 & ~old2, new3 & ~old3
+                for width, places, fresh in ((2, part.second, new2), (3, part.third, new3)):
                     ids, counts = part.counted(width, places[fresh[places]])
                     for at in range(0, len(counts), 100_000):
                         some = [names.take(pa.array(i[at : at + 100_000])) for i in ids]
                         yield batch(lang, pc.binary_join_element_wise(*some, " "), counts[at : at + 100_000])
+                # Nothing of a segment is held while the next is built.
+                del part, names, old2, old3, new2, new3, places, fresh, ids, counts
 
     found = rows.select("text", "lang").mapInArrow(work, "key string, c long")
     found = found.groupBy("key").agg(F.sum("c").alias("f")).where((F.col("f") >= MIN_COUNT) | F.col("key").startswith("\n"))
@@ -259,7 +273,7 @@ def frequent_phrases(docs: DataFrame) -> DataFrame:
     rows = _rows(docs)
     proposed = durable(_proposed(rows), "proposed")
     size = proposed.count()
-    n_bits = min(MAX_BITS, max(MIN_BITS, 1 << (32 * size).bit_length()))
+    n_bits = min(MAX_BITS, max(MIN_BITS, 1 << (8 * size).bit_length()))
     before, now, parts = None, Members(_set_bits(proposed, n_bits)), []
     while True:
         found = _count(rows, before, now)
