@@ -16,6 +16,7 @@ from wardflow.llm.quality import op6_quality
 from wardflow.llm.repeats import op8_repeats
 from wardflow.llm.secrets import op3_secrets
 from wardflow.llm.simhash import op7_simhash
+from wardflow.llm.spelling import op13_spelling
 from wardflow.llm.token_counts import op11_token_counts
 from wardflow.llm.word_bpe import op5_word_bpe
 
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat": op10_chat,
     "op11_token_counts": op11_token_counts,
     "op12_phrases": op12_phrases,
+    "op13_spelling": op13_spelling,
 }
 ORACLES: dict[str, str] = {
     "op2_decontaminate": OP2_SQL,
