@@ -5,15 +5,16 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests_support import GIVEN, write_extract
 from wardflow.operators.quality import check_tables
 from wardflow.plans.explorer import execute
 from wardflow.plans.features import build_features
 from wardflow.plans.ingest import ingest
-from wardflow.schemas import RAW_TYPES, TABLES
+from wardflow.schemas import ENCOUNTERS, RAW_TYPES, TABLES, ForeignKey, TableDefinition
 from wardflow.session import _is_single_machine, work_folder
-from wardflow.sources.tables import read_jdbc, read_raw_csv, read_tables
+from wardflow.sources.tables import read_jdbc, read_raw_csv, read_tables, save_bucketed
 
 
 def write_rows(path, header, rows):
@@ -86,8 +87,50 @@ def test_missing_key_column_is_a_violation(spark):
     assert found["diagnoses", "primary key diagnosis_id"] == 2
     assert found["diagnoses", "foreign key encounter_id"] == 1
     assert found["diagnoses", "length of icd9_code"] == 1
-    plan = check_tables({**empty, "diagnoses": rows}, TABLES)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange ") <= 3
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keys_are_counted_in_their_own_type(spark):
+    """Counts per key and task are all that moves, and no key becomes text. Both details of an encounter point to it,
+    so its keys move once more."""
+    tables = {n: spark.createDataFrame([], d.schema) for n, d in TABLES.items()}
+    plan = plan_of(check_tables(tables, TABLES))
+    assert "as string" not in plan
+    n_keys = len(TABLES) + sum(len(d.foreign_keys) for d in TABLES.values())
+    assert plan.count("Exchange hashpartitioning") <= n_keys + 1
+
+
+def test_tables_stored_by_key_are_checked_in_place(spark, tmp_path):
+    extra = TableDefinition("extra", ENCOUNTERS, "encounter_id", (ForeignKey("encounter_id", "encounters", "encounter_id"),))
+    stays = TableDefinition("encounters", ENCOUNTERS, "encounter_id")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS checks LOCATION '{tmp_path}'")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        save_bucketed(spark.range(1000).select(F.col("id").alias("encounter_id")), "checks.encounters", "encounter_id", 4)
+        some = spark.range(995, 1005).select(F.col("id").alias("encounter_id"))
+        save_bucketed(some.union(some.limit(1)), "checks.extra", "encounter_id", 4)
+        found = check_tables({n: spark.table(f"checks.{n}") for n in ("encounters", "extra")}, {"encounters": stays, "extra": extra})
+        assert "hashpartitioning" not in plan_of(found)
+        assert {tuple(r) for r in found.collect()} == {
+            ("encounters", "primary key encounter_id", 0), ("extra", "primary key encounter_id", 1), ("extra", "foreign key encounter_id", 5),
+        }
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP DATABASE checks CASCADE")
+
+
+def test_keys_of_different_types_meet(spark):
+    parent = TableDefinition("encounters", ENCOUNTERS, "encounter_id")
+    child = TableDefinition("extra", ENCOUNTERS, "patient_id", (ForeignKey("encounter_id", "encounters", "encounter_id"),))
+    tables = {
+        "encounters": spark.createDataFrame([(1,), (2,), (2,), (None,)], "encounter_id long"),
+        "extra": spark.createDataFrame([(1, "1"), (2, "x"), (3, None)], "patient_id long, encounter_id string"),
+    }
+    found = {(r[0], r[1]): r[2] for r in check_tables(tables, {"encounters": parent, "extra": child}).collect()}
+    assert found == {("encounters", "primary key encounter_id"): 2, ("extra", "primary key patient_id"): 0, ("extra", "foreign key encounter_id"): 1}
 
 
 def test_explorer_reports_errors_at_run_time(spark, tmp_path):

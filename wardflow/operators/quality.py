@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardflow.schemas import TableDefinition
 
@@ -64,65 +65,59 @@ def length_violations(df: DataFrame, key: str, limits: dict[str, int]) -> DataFr
     return found.select(key, "bad.column_name", "bad.n_chars")
 
 
+def _comparable(frames: list[DataFrame]) -> list[DataFrame]:
+    """Frames whose ``key`` columns can meet: text only where one is text and another is not."""
+    kinds = {f.schema["key"].dataType for f in frames}
+    if len(kinds) > 1 and any(isinstance(k, T.StringType) for k in kinds):
+        return [f.withColumn("key", F.col("key").cast("string")) for f in frames]
+    return frames
+
+
 def check_tables(tables: dict[str, DataFrame], definitions: dict[str, TableDefinition]) -> DataFrame:
     """Number of violations per declared constraint of all given tables.
 
-    Each table is read once and there is one shuffle: a row gives one mark for its primary key, one
-    for each foreign key (under the parent's key) and one for each value that is too long.
-    Marks are counted per key and constraint, so keys of parent and children meet in one group.
-    A table without its key column breaks the primary key with every row.
+    A table's rows are counted per key, in the key's own type, before tables meet; values that are too
+    long are counted on the way. The counts of a table and of the foreign keys that point to it are then
+    joined on the key they are already dealt by, so nothing moves but one row per key and task (joined keys once
+    more for each foreign key after the first that points to a table). Two tables that are stored hashed by the key
+    (``save_bucketed``) need no exchange, as each bucket holds all that is known of its keys. A table without its key column breaks the primary key with every row.
     """
-    names: list[tuple[str, str]] = []
-    counts: list[Column] = []
-    marks: list[DataFrame] = []
-    domains = {name: d for d, name in enumerate(definitions)}
-    own = {name: F.col("domain") == d for name, d in domains.items()}
-    primary: dict[str, int] = {}
-
-    def tally(number: int) -> str:
-        return f"n_{number}"
-
-    def add(table: str, constraint: str) -> int:
-        names.append((table, constraint))
-        return len(names) - 1
-
-    def mark(domain: int, value: Column, number: int) -> Column:
-        return F.struct(F.lit(domain).alias("domain"), value.cast("string").alias("value"), F.lit(number).alias("number"))
-
+    found: list[DataFrame] = []
     for name, definition in definitions.items():
-        primary[name] = add(name, f"primary key {definition.primary_key}")
-        foreign = [(fk, add(name, f"foreign key {fk.column}")) for fk in definition.foreign_keys]
-        lengths = [(c, width, add(name, f"length of {c}")) for c, width in definition.max_lengths or ()]
         df, key = tables[name], definition.primary_key
-        value = F.col(key) if key in df.columns else F.lit(None)
-        found = [mark(domains[name], value, primary[name])]
-        found += [F.when(F.col(fk.column).isNotNull(), mark(domains[fk.parent], F.col(fk.column), n)) for fk, n in foreign]
-        found += [F.when(F.char_length(c) > width, mark(-1, F.lit(""), n)) for c, width, n in lengths]
-        marks.append(df.select(F.explode(F.filter(F.array(*found), lambda m: m.isNotNull())).alias("m")).select("m.*"))
-    for name, definition in definitions.items():
-        key = F.col(tally(primary[name]))
-        if definition.primary_key in tables[name].columns:
-            bad = own[name] & ((key > 1) | (F.col("value").isNull() & (key > 0)))
-            counts.append(F.count(F.when(bad, 1)))
+        rows, results = F.count(F.lit(1)), []
+        lengths = [
+            (f"length of {c}", f"too_long_{n}", F.count_if(F.char_length(c) > width))
+            for n, (c, width) in enumerate(definition.max_lengths or ())
+        ]
+        own = [count.alias(column) for _, column, count in lengths]
+        if key in df.columns:
+            counts = df.groupBy(F.col(key).alias("key")).agg(rows.alias("n"), *own)
+            broken = F.count_if((F.col("n") > 1) | (F.col("key").isNull() & F.col("n").isNotNull()))
         else:
-            counts.append(F.coalesce(F.sum(F.when(own[name], key)), F.lit(0)).cast("bigint"))
-        first = primary[name] + 1
-        for place, fk in enumerate(definition.foreign_keys):
-            orphan = own[fk.parent] & (F.col(tally(first + place)) > 0) & (F.col(tally(primary[fk.parent])) == 0)
-            counts.append(F.count(F.when(orphan, 1)))
-        first += len(definition.foreign_keys)
-        counts += [
-            F.coalesce(F.sum(tally(first + place)), F.lit(0)).cast("bigint") for place in range(len(definition.max_lengths or ()))
+            counts = df.agg(rows.alias("n"), *own).withColumn("key", F.lit(None).cast("long"))
+            broken = F.sum("n")
+        results.append((name, f"primary key {key}", broken))
+        sides = []
+        for child, other in definitions.items():
+            for fk in other.foreign_keys:
+                if fk.parent != name:
+                    continue
+                used = tables[child].where(F.col(fk.column).isNotNull()).groupBy(F.col(fk.column).alias("key"))
+                mark = f"used_{len(sides)}"
+                sides.append(used.agg(F.lit(True).alias(mark)))
+                results.append((child, f"foreign key {fk.column}", F.count_if(F.col(mark) & F.col("n").isNull())))
+        results += [(name, constraint, F.sum(column)) for constraint, column, _ in lengths]
+        counts, *sides = _comparable([counts, *sides])
+        for side in sides:
+            counts = counts.join(side, "key", "full")
+        totals = counts.agg(*[F.coalesce(v, F.lit(0)).cast("long").alias(f"v_{n}") for n, (_, _, v) in enumerate(results)])
+        lines = [
+            F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("constraint_name"), F.col(f"v_{n}").alias("violations"))
+            for n, (t, c, _) in enumerate(results)
         ]
-    per_key = reduce(DataFrame.unionByName, marks).groupBy("domain", "value").agg(
-        *[F.count(F.when(F.col("number") == n, 1)).alias(tally(n)) for n in range(len(names))]
-    )
-    total = per_key.agg(*[c.alias(f"v_{n}") for n, c in enumerate(counts)])
-    rows = [
-        F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("constraint_name"), F.col(f"v_{n}").alias("violations"))
-        for n, (t, c) in enumerate(names)
-    ]
-    return total.select(F.inline(F.array(*rows)))
+        found.append(totals.select(F.inline(F.array(*lines))))
+    return reduce(DataFrame.unionByName, found)
 
 
 def scoring_rules() -> dict[str, Column]:
