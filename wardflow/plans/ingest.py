@@ -17,8 +17,9 @@ from wardflow.operators.running import dense_ids
 from wardflow.operators.shaping import active_drugs
 from wardflow.operators.skew import HotKeys, skew_join
 from wardflow.operators.visits import keep_first, synthetic_date, visit_number
-from wardflow.schemas import DRUGS
+from wardflow.schemas import DRUGS, RAW_TYPES
 from wardflow.session import durable, table_exists, work_tables
+from wardflow.sources.snapshots import Snapshot, commit, read_snapshot, snapshot
 from wardflow.sources.tables import FILE_ORDER, read_raw_csv, read_tables, write_tables
 
 _SNAPSHOT = {
@@ -138,3 +139,32 @@ def ingest(
         for name in ("patients", "encounters"):
             tables[name] = tables[name].withColumn("created_at", F.current_timestamp())
         return write_tables(tables, out_dir, mode)
+
+
+def batch_name(raw: DataFrame) -> str:
+    """Names an extract by its rows: the same rows in other files or another order have the same name."""
+    row = F.xxhash64(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\0")) for c in sorted(RAW_TYPES)])
+    n, total = raw.agg(F.count(F.lit(1)), F.sum(row.cast("decimal(38,0)"))).first()
+    return f"rows-{n}-{total or 0}"
+
+
+def ingest_batch(
+    spark: SparkSession, csv_path: str | Sequence[str], folder: str, batch: str | None = None, ids: bool = True
+) -> Snapshot:
+    """Add a raw extract to the tables of ``folder`` as one published load (see ``sources.snapshots``).
+
+    The four tables appear together or not at all. A batch that is loaded already changes nothing, so a job
+    may simply be run again; without a name the batch is named by its rows. The rules are those
+    of an append: a stored patient's row stays, visit numbers and ids go on, and an encounter of
+    another batch raises.
+    """
+    with work_tables(spark):
+        raw = durable(read_raw_csv(spark, csv_path), "raw")
+        batch = batch_name(raw) if batch is None else batch
+        base = snapshot(spark, folder)
+        if batch in base.batches:
+            return base
+        tables = after_stored(raw, read_snapshot(spark, folder, base.version), ids) if base.version else normalise(raw, ids)
+        for name in ("patients", "encounters"):
+            tables[name] = tables[name].withColumn("created_at", F.current_timestamp())
+        return commit(spark, folder, batch, tables, base)
