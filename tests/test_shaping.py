@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.operators import quality, shaping, visits
@@ -19,6 +20,50 @@ def test_median_of_an_even_count_is_the_middle(spark):
     assert sorted(r["v"] for r in shaping.fill_medians(df, ["v"]).collect()) == [1, 2, 2.5, 3, 10]
 
 
+ODD = [
+    0.0, -0.0, 1.0, -1.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, -1.7976931348623157e308,
+    float("inf"), float("-inf"), 0.1, -0.1, 3.0, 8.0, 7.999999999999999, 8.000000000000002, 2.0**1023, 2.0**-1022, 1e300, 1e-300,
+]
+
+
+def test_ordered_bits_of_odd_numbers():
+    """Every power of two and its neighbours, and the ends of the range."""
+    rng = random.Random(4)
+    values = [*ODD]
+    for e in range(-1074, 1024):
+        power = 2.0**e
+        values += [power, float(np.nextafter(power, 0)), float(np.nextafter(power, np.inf)), -power]
+    values += [rng.uniform(-1, 1) * 10.0 ** rng.randrange(-320, 308) for _ in range(2000)]
+    bits = shaping.ordered_bits(np.array(values))
+    assert [shaping.from_bits(b) for b in bits.tolist()] == values
+    order = np.argsort(bits, kind="stable")
+    assert [values[i] for i in order] == sorted(values)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 21, 22])
+def test_medians_of_odd_numbers(spark, n):
+    rng = random.Random(n)
+    for _ in range(3):
+        values = rng.sample(ODD, n)
+        rows = [(v, float("nan")) for v in values] + [(None, float("nan")), (float("nan"), None)]
+        found = shaping.medians(spark.createDataFrame(rows, "v double, w double"), ["v", "w"])
+        low, high = sorted(values)[(n - 1) // 2], sorted(values)[n // 2]
+        assert found["w"] is None
+        assert found["v"] == (low + high) / 2 or np.isnan((low + high) / 2) and np.isnan(found["v"])
+
+
+def test_medians_sort_nothing(spark, monkeypatch):
+    """Only counts move: no exchange by range and no sort in any pass."""
+    plans, arrow = [], DataFrame.toArrow
+    monkeypatch.setattr(DataFrame, "toArrow", lambda self: plans.append(self._jdf.queryExecution().executedPlan().toString()) or arrow(self))
+    rng = random.Random(9)
+    values = [rng.random() for _ in range(1001)]
+    found = shaping.medians(spark.createDataFrame([(v,) for v in values], "v double").repartition(3), ["v"])
+    assert found["v"] == sorted(values)[500]
+    assert 1 < len(plans) <= len(shaping.DIGITS)
+    assert not any("rangepartitioning" in p or "Sort " in p for p in plans)
+
+
 def test_medians_by_brute_force(spark):
     """A column with a hot value, one of distinct doubles, one with many nulls, one empty, one constant."""
     random.seed(2)

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import struct
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow.functions.numbers import rate_percent, ratio_half_up
 from wardflow.functions.values import dose_changed, drug_active
-from wardflow.operators.running import running
 
 
 def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str], variable: str, value: str) -> DataFrame:
@@ -52,37 +54,95 @@ def align(df: DataFrame, columns: Sequence[str], fill: Mapping[str, object] | No
     )
 
 
+#: Bits of a number that each pass of ``medians`` looks at, from its first.
+DIGITS = (13, 13, 13, 13, 12)
+
+
+def ordered_bits(values: np.ndarray) -> np.ndarray:
+    """Doubles as longs of the same order: their bits, negated below zero. Both zeros are 0."""
+    bits = values.view(np.int64)
+    return np.where(bits < 0, -(bits & np.int64(2**63 - 1)), bits)
+
+
+def from_bits(bits: int) -> float:
+    """The double behind ``ordered_bits``."""
+    size = struct.unpack("<d", struct.pack("<q", abs(bits)))[0]
+    return -size if bits < 0 else size
+
+
+COUNTS = "column_no int, first long, n long, low long, high long"
+
+
+def _first_bits(batches: Iterator[pa.RecordBatch], shift: int, before: int, wanted: dict[int, list[int]]) -> Iterator[pa.RecordBatch]:
+    """Counts, smallest and largest of a task's numbers by their bits from ``shift`` on."""
+    held: dict[int, list[np.ndarray]] = {i: [] for i in wanted}  # rows of (first, n, low, high)
+
+    def merged(rows: np.ndarray) -> np.ndarray:
+        rows = rows[:, np.argsort(rows[0], kind="stable")]
+        starts = np.flatnonzero(np.concatenate(([True], rows[0, 1:] != rows[0, :-1])))
+        return np.stack([
+            rows[0, starts], np.add.reduceat(rows[1], starts), np.minimum.reduceat(rows[2], starts), np.maximum.reduceat(rows[3], starts),
+        ])
+
+    for batch in batches:
+        for i, column in zip(wanted, batch.columns):
+            values = column.drop_null().to_numpy(zero_copy_only=False)
+            bits = ordered_bits(values[~np.isnan(values)])
+            if before < 64:
+                bits = bits[np.isin(bits >> before, wanted[i])]
+            if len(bits):
+                held[i].append(merged(np.stack([bits >> shift, np.ones_like(bits), bits, bits])))
+            if len(held[i]) >= 64:
+                held[i] = [merged(np.concatenate(held[i], axis=1))]
+    for i, parts in held.items():
+        if parts:
+            rows = merged(np.concatenate(parts, axis=1))
+            number = np.full(rows.shape[1], i, dtype=np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(number), *map(pa.array, rows)], ["column_no", "first", "n", "low", "high"])
+
+
 def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    """Exact medians, the mean of the two middle values for an even count.
+    """Exact medians, the mean of the two middle values for an even count; nulls and NaN are left out.
 
-    Values are counted per column first (combined before the shuffle), then the
-    distinct values are walked in order by ``running``. No task holds a whole column.
+    A radix selection: each pass counts the values of all columns by the next bits of the number, tells from
+    the counts which numbers the middle ones start with, and leaves the others out from then on. A
+    task sends 8,192 counts per column and middle value at most, no value is moved or sorted between tasks, and a
+    value that many rows hold is one count. There are five passes at most, fewer where few values
+    differ; ``df`` is read once for each, so pass a stored table.
     """
-    if not columns:
-        return {}
-    values = F.array(
-        *[
-            F.struct(F.lit(i).alias("column_no"), F.col(f"`{c}`").cast("double").alias("value"))
-            for i, c in enumerate(columns)
-        ]
-    )
-    counts = (
-        df.select(F.explode(values).alias("cell"))
-        .select("cell.column_no", "cell.value")
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("column_no", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    walked = running(counts, [F.col("value")], group=["column_no"], sums=["n"])
-    sizes = walked.groupBy("column_no").agg(F.sum("n").alias("total"))  # one row per column
-    middle = (
-        walked.join(F.broadcast(sizes), "column_no")
-        .where((F.col("cum_n") * 2 >= F.col("total")) & ((F.col("cum_n") - F.col("n")) * 2 <= F.col("total")))
-        .groupBy("column_no")
-        .agg(((F.min("value") + F.max("value")) / 2).alias("median"))
-    )
-    found = {row["column_no"]: row["median"] for row in middle.collect()}
-    return {c: found.get(i) for i, c in enumerate(columns)}
+    found: dict[str, float | None] = dict.fromkeys(columns)
+    # For each column that is not settled, two of: place among the values left, first bits, the number if settled.
+    middle: dict[int, list[list]] = {i: [] for i in range(len(columns))}
+    shift = 64
+    for width in DIGITS:
+        if not middle:
+            break
+        shift, before = shift - width, shift
+        wanted = {i: sorted({first for _, first, _ in targets}) for i, targets in middle.items()}
+        left = df.select(*[F.col(f"`{columns[i]}`").cast("double").alias(f"c{i}") for i in wanted])
+        parts = left.mapInArrow(lambda batches, s=shift, b=before, w=wanted: _first_bits(batches, s, b, w), COUNTS)
+        counts = parts.groupBy("column_no", "first").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+        by_column: dict[int, list[tuple]] = {}
+        for row in counts.toArrow().to_pylist():  # 2 x 8,192 rows per column at most
+            by_column.setdefault(row["column_no"], []).append((row["first"], row["n"], row["low"], row["high"]))
+        for i in list(middle):
+            rows = sorted(by_column.get(i, []))
+            if not middle[i]:
+                total = sum(n for _, n, _, _ in rows)
+                if not total:
+                    del middle[i]
+                    continue
+                middle[i] = [[(total - 1) // 2, None, None], [total // 2, None, None]]
+            for target in middle[i]:
+                inside = [r for r in rows if target[1] is None or r[0] >> (before - shift) == target[1]]
+                for first, n, low, high in inside:
+                    if target[0] < n:
+                        target[1:] = first, low if low == high else None
+                        break
+                    target[0] -= n
+            if all(value is not None for _, _, value in middle[i]):
+                found[columns[i]] = sum(from_bits(value) for _, _, value in middle.pop(i)) / 2
+    return found
 
 
 def fill_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
