@@ -2,14 +2,17 @@
 
 1. quality: documents that the classifier scores below its threshold go. It learns from the labels
    of all folds but the one held out, and from at most ``TRAIN_ROWS`` of them.
-2. near_duplicates: one document of each group of near copies (Jaccard likeness of 5-word shingles of 0.8
-   or more, linked pairs and their components) stays, its smallest id.
+2. near_duplicates: one document of each group of near copies stays, its smallest id: fingerprints of 3-word
+   shingles link at 3 or fewer differing bits, and groups are the components of the links.
 3. decontaminate: documents that contain a benchmark item go.
 4. secrets: secrets are replaced in the texts, and ``n_chars`` is counted anew.
 5. encode: token ids and the decoded text of each document that is left.
 
 All stages but the last return the columns of ``documents`` as they came, extra ones included.
 Each stage judges what its predecessor kept.
+
+Defined results: null texts are empty; the operators' docstrings say what becomes of very long texts, ties and
+repeated rows (one of them stays); an empty table passes through as an empty one.
 """
 
 from __future__ import annotations
@@ -20,9 +23,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import decontaminate, near, quality, secrets, word_bpe
+from wardflow.llm import decontaminate, quality, secrets, simhash, word_bpe
 from wardflow.llm.common import fold_of, table
-from wardflow.session import work_folder
+from wardflow.session import work_folder, work_tables
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 SCORE = "__quality_score"
@@ -36,7 +39,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near.keep_one(docs)
+    return simhash.keep_one(docs, simhash.RADIUS, simhash.WIDTH)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,11 +69,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``: the encoded rows of the documents kept."""
+    """All stages over ``documents``: the encoded rows of the documents kept.
+
+    What a stage writes for itself is deleted once its result is stored.
+    """
     docs = table(spark, sf_dir, "documents")
     folder = f"{work_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for place, (name, stage) in enumerate(STAGES):
         out = f"{folder}/{place}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(out)
+        with work_tables(spark):
+            stage(spark, docs, sf_dir).write.parquet(out)
         docs = spark.read.parquet(out)
     return docs
