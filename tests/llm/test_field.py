@@ -1,0 +1,86 @@
+"""Secrets that only the field can find: none of the patterns matches them."""
+
+from __future__ import annotations
+
+import random
+import string
+
+import pytest
+
+from wardflow.llm import secrets
+
+LETTERS = string.ascii_letters + string.digits
+FORMS = ("Authorization: Bearer {}", "pwd: {}", 'pwd = "{}"', "credential {}", "bearer {}", "auth {}")
+SIGNS = ("someone.92@mail6.example.com", "+49 170 5550123", "2024-05-17T10:22:31", "https://example.com/a/b-12?x=3", "ISBN 978-3-16-148410-0", "x = y2", "v1.20.3")
+
+
+def prose(rng, n):
+    return ["".join(rng.choice("etaoinsrhldé") for _ in range(rng.randrange(2, 10))) for _ in range(n)]
+
+
+def with_sign(rng, sign, n=80):
+    words = prose(rng, n)
+    words.insert(rng.randrange(n), sign)
+    return " ".join(words)
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    rng = random.Random(1)
+    rows = [with_sign(rng, f'{rng.choice(["token", "secret", "api_key"])} = "{rng.randbytes(20).hex()}"') for _ in range(150)]
+    rows += [with_sign(rng, rng.choice(SIGNS)) for _ in range(600)]
+    return secrets.train(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+
+
+def test_values_behind_unknown_words_are_found(model):
+    rng = random.Random(2)
+    hits = total = 0
+    for form in FORMS:
+        for _ in range(60):
+            value = "".join(rng.choice(LETTERS) for _ in range(rng.choice([16, 20, 32, 40])))
+            text = with_sign(rng, form.format(value))
+            assert not secrets.pattern_spans(text.encode())
+            at = text.index(value)
+            hits += any(k == 3 and s <= at and at + len(value) <= e for s, k, e in secrets.all_spans(text, model))
+            total += 1
+    assert hits >= 0.7 * total
+
+
+def test_clean_texts_are_left_alone(model):
+    rng = random.Random(3)
+    texts = [with_sign(rng, sign) for sign in SIGNS for _ in range(60)]
+    wrong = sum(bool(secrets.all_spans(t, model)) for t in texts)
+    assert wrong <= 0.02 * len(texts)
+
+
+def test_pattern_spans_stay(model):
+    rng = random.Random(4)
+    for _ in range(50):
+        text = with_sign(rng, f'Password: "{rng.randbytes(12).hex()}" AKIA{"Z9" * 10}')
+        spans = secrets.all_spans(text, model)
+        assert set(secrets.pattern_spans(text.encode("ascii", "replace"))) <= set(spans)
+
+
+def test_searching_only_where_a_match_can_be_changes_nothing():
+    rng = random.Random(5)
+    marks = ["PassWd=", "secret :", " token", "API_key='", "AKIA", "abcdef0123", "ABC9", "\n", "é", "-"]
+    for _ in range(400):
+        data = "".join(rng.choice(marks) for _ in range(rng.randrange(30))).encode()
+        slow = sorted(
+            (m.start(), kind, m.end())
+            for kind, (pattern, group, least) in enumerate(secrets.PATTERNS.values())
+            for m in pattern.finditer(data)
+            if len(m[group]) >= least
+        )
+        assert secrets.pattern_spans(data) == slow
+
+
+def test_moved_windows_have_no_pattern():
+    rng = random.Random(6)
+    for seed in range(100):
+        words = with_sign(rng, f'token = "{rng.randbytes(20).hex()}"', 20).encode().split()
+        moved = list(secrets.moved_windows(words, seed))
+        assert moved
+        for found, tags in moved:
+            assert len(found) == len(tags) and tags.count(secrets.B) == 1 and not tags.count(secrets.I)
+            assert not secrets.pattern_spans(b" ".join(found))

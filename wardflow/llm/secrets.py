@@ -4,7 +4,8 @@ Words are runs without ASCII white space. The field tags each as outside (O), be
 (B) or continuing (I) a secret. Its features are the word's shape, length, alphabet and mix of
 characters, the words before and after it, and features of the whole text. It is trained on at
 most ``train_windows`` windows of words around pattern matches and as many elsewhere, chosen by
-a hash of their text, by maximum likelihood; the patterns label the words. Whole texts are
+a hash of their text, by maximum likelihood; the patterns label the words. Values that the patterns find are
+also respelled and put behind words that no pattern knows, or into quotes, so that the field learns more than the patterns. Whole texts are
 decoded by Viterbi. Where O leads a word's other tags by more than all transitions can
 return, every best path passes through O, so the text is decoded exactly in the stretches between
 such words; most words need no further step.
@@ -19,6 +20,7 @@ patterns alone give spans. Other columns are passed through or not read.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 from collections.abc import Iterator
@@ -60,17 +62,39 @@ _SHAPE = bytes.maketrans(
 _RUNS = re.compile(rb"(.)\1+", re.S)
 
 
+#: What every match of a pattern holds, in lower case for the first: texts without it are not searched.
+_KEY_PARTS = (b"passw", b"secret", b"token", b"api")
+_HEX = bytes(0x78 if c in b"0123456789abcdef" else 0x20 for c in range(256))
+
+
+def _may_match(data: bytes) -> Iterator[str]:
+    lower = data.lower()
+    if any(part in lower for part in _KEY_PARTS):
+        yield "assign"
+    if b"AKIA" in data:
+        yield "access"
+    if b"x" * 24 in data.translate(_HEX):
+        yield "hex"
+
+
 def pattern_spans(data: bytes) -> list[tuple[int, int, int]]:
     """(start, kind, end) of all patterns, byte offsets, by start and then kind."""
     found = []
-    for kind, (pattern, group, least) in enumerate(PATTERNS.values()):
+    for name in _may_match(data):
+        pattern, group, least = PATTERNS[name]
         for match in pattern.finditer(data):
             if match.end(group) - match.start(group) >= least:
-                found.append((match.start(), kind, match.end()))
+                found.append((match.start(), KINDS.index(name), match.end()))
     return sorted(found)
 
 
 def own_features(word: bytes) -> tuple[str, ...]:
+    if word.isalpha() and not (len(word) >= 8 and not word.strip(b"abcdefABCDEF")):  # no digit, sign or mark
+        shape = "a" if word.islower() else "A" if word.isupper() else "Aa" if word[1:].islower() else None
+        if shape:
+            key = _KEYS.search(word.lower())
+            found = (f"shape {shape}", f"length {min(len(word), 64) // 6}", f"kinds {len(set(word)) // 4}")
+            return (*found, f"key {key[0].decode()}") if key else found
     classes = word.translate(_SHAPE)
     shape = _RUNS.sub(rb"\1", classes)[:10].decode("latin-1")
     core = word.strip(_MARKS)
@@ -96,6 +120,10 @@ def near_features(word: bytes) -> tuple[str, ...]:
     return (f"{'named ' + key[0].decode() if key else 'other'} {sign} {long_mix}",)
 
 
+#: What any word of 3 to 15 characters tells that names no secret.
+PLAIN_NEAR = near_features(b"word")
+
+
 def file_features(data: bytes, words: int) -> tuple[str, ...]:
     signs = data.count(b"=") + data.count(b":")
     return (f"file signs {min(4, signs * 200 // max(words, 1))}", f"file size {min(words, 4095).bit_length() // 3}")
@@ -164,34 +192,38 @@ class Field:
         return path[::-1]
 
 
-class WordScores:
-    """Scores of words seen so far: for themselves, for the word after, for the word before."""
+class WordScores(dict):
+    """Word -> row of ``values``: scores for the word itself, for the word after, for the word before.
+
+    Words of the same features share a row, so there are few rows; words are kept up to ``LIMIT``.
+    """
 
     LIMIT = 600_000
 
     def __init__(self, model: Field):
+        super().__init__()
         self.model = model
-        self.clear()
-
-    def clear(self) -> None:
-        self.known, self.values = {}, np.zeros((1024, 9))
+        self.rows: dict[tuple, int] = {}
+        self.values = np.zeros((1024, 9))
+
+    def __missing__(self, word: bytes) -> int:
+        plain = 2 < len(word) < 16 and not _KEYS.search(word.lower())
+        key = (own_features(word), PLAIN_NEAR if plain else near_features(word))
+        row = self.rows.get(key)
+        if row is None:
+            row = self.rows[key] = len(self.rows)
+            if row == len(self.values):
+                self.values = np.concatenate([self.values, np.zeros_like(self.values)])
+            total = self.model.total
+            self.values[row] = np.concatenate([total("", key[0]), total("before ", key[1]), total("after ", key[1])])
+        self[word] = row
+        return row
 
     def places(self, words: list[bytes]) -> np.ndarray:
         hold(self)
-        missing = set(words).difference(self.known)
-        if len(self.known) + len(missing) > self.LIMIT and self.known:
-            self.known, missing = {}, set(words)
-        need = len(self.known) + len(missing)
-        if need > len(self.values):
-            self.values = np.concatenate([self.values, np.zeros((max(need, len(self.values)), 9))])
-        for word in missing:
-            place = self.known[word] = len(self.known)
-            near = near_features(word)
-            model = self.model
-            self.values[place] = np.concatenate(
-                [model.total("", own_features(word)), model.total("before ", near), model.total("after ", near)]
-            )
-        return np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
+        if len(self) > self.LIMIT:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
 
 
 def label_words(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int, int]]) -> np.ndarray:
@@ -220,6 +252,43 @@ def training_windows(data: bytes, seed: int) -> Iterator[tuple[bool, list[bytes]
         yield place not in elsewhere, words[a:b], tags[a:b].tobytes(), names
 
 
+#: Words put before a moved value; they name a secret, but no pattern starts with them.
+CONTEXTS = ((), (b"bearer",), (b"pwd", b"="), (b"credential",), (b"auth:",), (b"Authorization:", b"Bearer"), (b"pwd:",))
+QUOTES = (b"%s", b'"%s"', b"'%s'", b"%s,")
+#: Only values as long as this, with a digit, are moved: a plain word says nothing by itself.
+MOVED = 12
+
+
+def respelled(value: bytes, pick: int) -> bytes:
+    """A value of another alphabet, made from a hash of ``value``: 16 to 40 characters."""
+    digest = hashlib.blake2b(value, digest_size=48, salt=pick.to_bytes(8, "little")).digest()
+    spell = (base64.b64encode, base64.urlsafe_b64encode, base64.b32encode, base64.b16encode)[pick % 4]
+    return spell(digest)[: 16 + pick // 4 % 25]
+
+
+def moved_windows(words: list[bytes], seed: int) -> Iterator[tuple[list[bytes], bytes]]:
+    """(words, tags): each value that a pattern finds in a window, respelled, in a place that no pattern knows.
+
+    The patterns' key words are gone from these windows, so the field has to learn secrets by their mix of
+    characters, and by other words and quotes beside them.
+    """
+    data = b" ".join(words)
+    starts, ends = word_bounds(data)
+    for turn, (start, kind, end) in enumerate(pattern_spans(data)):
+        pattern, group, _ = PATTERNS[KINDS[kind]]
+        value = pattern.match(data, start, end)[group]
+        if len(value) < MOVED or not any(48 <= c < 58 for c in value):
+            continue
+        a, b = int(np.searchsorted(ends, start, side="right")), int(np.searchsorted(starts, end, side="left"))
+        while a and _KEYS.search(words[a - 1].lower()):  # a key word apart from its value
+            a -= 1
+        pick = 31 * seed + turn
+        before = CONTEXTS[pick % len(CONTEXTS)]
+        found = [*words[:a], *before, QUOTES[pick % len(QUOTES)] % respelled(value, pick), *words[b:]]
+        if not pattern_spans(b" ".join(found)):  # another secret of the window would be labelled O
+            yield found, bytes([O] * (a + len(before)) + [B] + [O] * (len(words) - b))
+
+
 def fit_field(windows: list[tuple[list[bytes], np.ndarray, list[str]]], steps: int = 80, prior: float = 1e-3) -> Field:
     """Maximum likelihood by forward and backward sums over all windows at once, with Adam steps."""
     index: dict[str, int] = {}
@@ -299,7 +368,13 @@ def train(docs: DataFrame, train_windows: int = TRAIN_WINDOWS) -> Field | None:
         sample += found.where(F.col("match") == match).orderBy(*first).limit(train_windows).collect()
     if not any(r["match"] for r in sample):
         return None
-    return fit_field([(bytes(r["words"]).split(), np.frombuffer(r["tags"], np.int8), r["names"].split("\n")) for r in sample])
+    windows = []
+    for place, row in enumerate(sample):
+        words, names = bytes(row["words"]).split(), row["names"].split("\n")
+        windows.append((words, np.frombuffer(row["tags"], np.int8), names))
+        if row["match"]:
+            windows += [(w, np.frombuffer(tags, np.int8), names) for w, tags in moved_windows(words, place)]
+    return fit_field(windows)
 
 
 def all_spans(text: str, model: Field | None) -> list[tuple[int, int, int]]:
