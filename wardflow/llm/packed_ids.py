@@ -42,6 +42,8 @@ BLOCK_IDS = 4096
 SEGMENT_IDS = 1 << 20
 LOWEST = -(2**63)
 END_ID = 2
+#: Texts that are cut into pieces together.
+TEXTS = 500
 
 
 def bits_for(vocabulary: int) -> int:
@@ -131,7 +133,8 @@ class ByteEncoder:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(special)) if special else None
         self.known: dict[str, bytes] = {}  # ids as little-endian u4
         self.limit = limit
 
@@ -141,22 +144,24 @@ class ByteEncoder:
     def __call__(self, batch: Iterable[str]) -> list[np.ndarray]:
         batch = list(batch)
         hold(self)
-        plain = [bool(self.PLAIN.fullmatch(t)) and not any(s in t for s in self.special) for t in batch]
-        out = []
-        for text, simple in zip(batch, plain):
-            if not simple:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                out.append(np.array(ids, dtype=np.uint32))
-                continue
-            pieces = self.PIECE.findall(text)
-            if missing := list(set(pieces).difference(self.known)):
-                if len(self.known) + len(missing) > self.limit:
-                    self.known.clear()
-                    missing = list(set(pieces))
-                found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-                self.known.update(zip(missing, (array("I", e.ids).tobytes() for e in found)))
-            out.append(np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), dtype=np.uint32))
-        return out
+        return [ids for at in range(0, len(batch), TEXTS) for ids in self._encode(batch[at : at + TEXTS])]
+
+    def _encode(self, batch: list[str]) -> Iterator[np.ndarray]:
+        special, plain, cut = self.special, self.PLAIN.fullmatch, self.PIECE.findall
+        pieces = [cut(t) if plain(t) and not (special and special.search(t)) else None for t in batch]
+        used = set().union(*filter(None, pieces))
+        if missing := list(used.difference(self.known)):
+            if len(self.known) + len(missing) > self.limit:
+                self.known.clear()
+                missing = list(used)
+            found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
+            self.known.update(zip(missing, (array("I", e.ids).tobytes() for e in found)))
+        ids = self.known.__getitem__
+        for text, own in zip(batch, pieces):
+            if own is None:
+                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+            else:
+                yield np.frombuffer(b"".join(map(ids, own)), dtype=np.uint32)
 
 
 _ENCODERS: dict[int, ByteEncoder] = {}
