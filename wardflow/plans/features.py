@@ -25,7 +25,7 @@ from wardflow.operators.visits import (
 from wardflow.schemas import FEATURES
 from wardflow.sources.tables import write_counted
 
-_PREVIOUS = "prev_encounter_date"
+PREVIOUS = "prev_encounter_date"
 
 
 def _by_window(encounters: DataFrame, patients: DataFrame) -> DataFrame:
@@ -36,14 +36,14 @@ def _by_window(encounters: DataFrame, patients: DataFrame) -> DataFrame:
     """
     visits = visit_window()
     patient = visits.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    previous = {_PREVIOUS: F.lag("encounter_date").over(visits)}
+    previous = {PREVIOUS: F.lag("encounter_date").over(visits)}
     return history_over(encounters, patient, **previous).join(patients, "patient_id")
 
 
 def _by_aggregate(encounters: DataFrame, patients: DataFrame, hot: HotKeys) -> DataFrame:
     """The same columns without any window over a patient's rows; safe for hot patients."""
     per_patient = patients.join(patient_history(encounters), "patient_id")
-    dated = previous_by_day(encounters, _PREVIOUS)
+    dated = previous_by_day(encounters, PREVIOUS)
     return skew_join(dated, per_patient, "patient_id", hot=hot)
 
 
@@ -62,6 +62,20 @@ def _with_patient(
     return ordinary.unionByName(heavy)
 
 
+def finished(rows: DataFrame) -> DataFrame:
+    """The feature columns of joined rows, with their defaults and types."""
+    gap = gap_days(F.col("encounter_date"), F.col(PREVIOUS))
+    derived = {
+        **{name: F.coalesce(F.col(name), F.lit(0)) for name in HISTORY_COLUMNS},
+        "days_since_last_visit": F.coalesce(gap, F.lit(NO_PREVIOUS_VISIT)),
+        "diag_readmission_rate": F.coalesce(F.col("readmission_rate_pct"), F.lit(0.0)),
+        "medication_change_flag": F.coalesce(F.col("med_change_flag"), F.lit(0)),
+    }
+    return rows.select(
+        *[derived.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in FEATURES.fields]
+    )
+
+
 def build_features(
     tables: Mapping[str, DataFrame],
     strategy: str = "auto",
@@ -106,17 +120,7 @@ def build_features(
         diagnoses, one_row_each(encounters), "encounter_id", "right", hot_encounters, hot_rows
     )
     rows = lookup_join(rows, rates.select("diagnosis_group", "readmission_rate_pct"), "diagnosis_group")
-
-    gap = gap_days(F.col("encounter_date"), F.col(_PREVIOUS))
-    derived = {
-        **{name: F.coalesce(F.col(name), F.lit(0)) for name in HISTORY_COLUMNS},
-        "days_since_last_visit": F.coalesce(gap, F.lit(NO_PREVIOUS_VISIT)),
-        "diag_readmission_rate": F.coalesce(F.col("readmission_rate_pct"), F.lit(0.0)),
-        "medication_change_flag": F.coalesce(F.col("med_change_flag"), F.lit(0)),
-    }
-    return rows.select(
-        *[derived.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in FEATURES.fields]
-    )
+    return finished(rows)
 
 
 def save_features(

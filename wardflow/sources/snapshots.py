@@ -65,7 +65,8 @@ def snapshot(spark: SparkSession, folder: str, version: int | None = None) -> Sn
     return Snapshot(**json.loads(text))
 
 
-def _publish(spark: SparkSession, folder: str, state: Snapshot) -> None:
+def publish(spark: SparkSession, folder: str, state: Snapshot) -> None:
+    """Write the manifest of ``state``; ``Conflict`` if its version is there."""
     jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
     target, system = _path(spark, _manifest(folder, state.version))
     staged, _ = _path(spark, f"{folder}/_manifest/.{uuid.uuid4().hex}")
@@ -101,7 +102,7 @@ def commit(spark: SparkSession, folder: str, batch: str, tables: Mapping[str, Da
         rows[name] = write_counted(df, f"{folder}/{part}")
         parts.setdefault(name, []).append(part)
     state = Snapshot(base.version + 1, parts, {**base.batches, batch: rows})
-    _publish(spark, folder, state)
+    publish(spark, folder, state)
     return state
 
 
@@ -115,6 +116,13 @@ def read_snapshot(spark: SparkSession, folder: str, version: int | None = None)
     return out
 
 
+def read_batch(spark: SparkSession, folder: str, batch: str) -> dict[str, DataFrame]:
+    """The rows that one batch added to each table: every load adds one part to every table."""
+    state = snapshot(spark, folder)
+    place = list(state.batches).index(batch)
+    return {n: spark.read.schema(d.schema).parquet(f"{folder}/{state.parts[n][place]}") for n, d in TABLES.items()}
+
+
 def unpublished(spark: SparkSession, folder: str) -> list[str]:
     """Parts that no manifest names: of loads that stopped, or that are still running."""
     known = {part for v in _versions(spark, folder) for own in snapshot(spark, folder, v).parts.values() for part in own}
