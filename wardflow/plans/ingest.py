@@ -19,8 +19,9 @@ from wardflow.operators.skew import HotKeys, skew_join
 from wardflow.operators.visits import keep_first, synthetic_date, visit_number
 from wardflow.schemas import DRUGS, RAW_TYPES
 from wardflow.session import durable, table_exists, work_tables
+from wardflow.sources.quarantine import TooManyBadRows, read_checked_csv
 from wardflow.sources.snapshots import Snapshot, commit, read_snapshot, snapshot
-from wardflow.sources.tables import FILE_ORDER, read_raw_csv, read_tables, write_tables
+from wardflow.sources.tables import FILE_ORDER, read_raw_csv, read_tables, write_table, write_tables
 
 _SNAPSHOT = {
     "age": "age",
@@ -120,17 +121,38 @@ def after_stored(raw: DataFrame, stored: Mapping[str, DataFrame], ids: bool = Tr
     }
 
 
+def _loaded(spark: SparkSession, csv_path: str | Sequence[str], quarantine: str | None, max_bad_share: float) -> DataFrame:
+    """The typed extract, stored; with ``quarantine``, its bad rows are written there."""
+    if quarantine is None:
+        return durable(read_raw_csv(spark, csv_path), "raw")
+    checked = read_checked_csv(spark, csv_path)
+    write_table(checked.bad, quarantine)
+    if checked.bad_share > max_bad_share:
+        raise TooManyBadRows(f"{checked.n_bad} of {checked.n_rows} rows cannot be read; see {quarantine}")
+    return checked.good
+
+
 def ingest(
-    spark: SparkSession, csv_path: str | Sequence[str], out_dir: str, mode: str = "overwrite", ids: bool = True
+    spark: SparkSession,
+    csv_path: str | Sequence[str],
+    out_dir: str,
+    mode: str = "overwrite",
+    ids: bool = True,
+    quarantine: str | None = None,
+    max_bad_share: float = 0.01,
 ) -> dict[str, int]:
     """Load a raw CSV extract, write the four tables as parquet folders, return the rows written.
 
     The cleaned scan is written once: it fixes the file order, and each of the four
     writes then reads only its own columns. ``append`` adds to tables that are there
     (see ``after_stored``) and to empty ones where there are none.
+
+    An unreadable cell raises. With ``quarantine``, a path, rows that cannot be read are written there
+    instead (see ``sources.quarantine``) and all others load; above ``max_bad_share`` the load raises
+    ``TooManyBadRows`` after that and before any table is written.
     """
     with work_tables(spark):
-        raw = durable(read_raw_csv(spark, csv_path), "raw")
+        raw = _loaded(spark, csv_path, quarantine, max_bad_share)
         if mode == "append" and table_exists(spark, f"{out_dir}/encounters"):
             # The new rows are stored before any is appended: the tables they are derived from then change.
             tables = {n: durable(df, n) for n, df in after_stored(raw, read_tables(spark, out_dir), ids).items()}
@@ -149,17 +171,23 @@ def batch_name(raw: DataFrame) -> str:
 
 
 def ingest_batch(
-    spark: SparkSession, csv_path: str | Sequence[str], folder: str, batch: str | None = None, ids: bool = True
+    spark: SparkSession,
+    csv_path: str | Sequence[str],
+    folder: str,
+    batch: str | None = None,
+    ids: bool = True,
+    quarantine: str | None = None,
+    max_bad_share: float = 0.01,
 ) -> Snapshot:
     """Add a raw extract to the tables of ``folder`` as one published load (see ``sources.snapshots``).
 
     The four tables appear together or not at all. A batch that is loaded already changes nothing, so a job
     may simply be run again; without a name the batch is named by its rows. The rules are those
     of an append: a stored patient's row stays, visit numbers and ids go on, and an encounter of
-    another batch raises.
+    another batch raises. ``quarantine`` and ``max_bad_share`` are those of ``ingest``.
     """
     with work_tables(spark):
-        raw = durable(read_raw_csv(spark, csv_path), "raw")
+        raw = _loaded(spark, csv_path, quarantine, max_bad_share)
         batch = batch_name(raw) if batch is None else batch
         base = snapshot(spark, folder)
         if batch in base.batches:
