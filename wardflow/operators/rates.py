@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
@@ -93,10 +95,10 @@ def with_history(encounters: DataFrame, rounded: bool = False, hot: HotKeys | No
     return joined.unionByName(heavy)
 
 
-def medication_flags(medications: DataFrame) -> DataFrame:
-    """Per encounter: 1 if any dose changed."""
+def medication_flags(medications: DataFrame, keys: Sequence[str] = ("encounter_id",)) -> DataFrame:
+    """Per encounter: 1 if any dose changed. ``keys`` may add columns that an encounter determines."""
     changed = F.when(F.col("dosage_change"), 1).otherwise(0)
-    return medications.groupBy("encounter_id").agg(F.max(changed).alias("med_change_flag"))
+    return medications.groupBy(*keys).agg(F.max(changed).alias("med_change_flag"))
 
 
 def admission_trend(encounters: DataFrame, patients: DataFrame) -> DataFrame:

@@ -47,7 +47,7 @@ def _by_aggregate(encounters: DataFrame, patients: DataFrame, hot: HotKeys) -> D
     return skew_join(dated, per_patient, "patient_id", hot=hot)
 
 
-def _with_patient(
+def with_patient(
     encounters: DataFrame, patients: DataFrame, strategy: str, hot: HotKeys | None
 ) -> DataFrame:
     encounters = encounters.where(F.col("patient_id").isNotNull())  # the inner join drops these
@@ -108,7 +108,7 @@ def build_features(
     flags = medication_flags(tables["medications"])
 
     def one_row_each(some: DataFrame) -> DataFrame:
-        return _with_patient(some, patients, strategy, hot_patients).join(flags, "encounter_id", "left")
+        return with_patient(some, patients, strategy, hot_patients).join(flags, "encounter_id", "left")
 
     hot_rows = None
     if hot_encounters:
