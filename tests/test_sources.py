@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import datetime
+from collections import Counter
+from decimal import Decimal
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -100,6 +104,93 @@ def test_jdbc_options():
     assert "db.host:6543" in io.jdbc_options(settings | {"DB_HOST": "db.host", "DB_PORT": "6543"}, "t")["url"]
 
 
+def keys_of(spark, values, kind="long"):
+    return spark.createDataFrame([(v,) for v in values], f"k {kind}")
+
+
+@pytest.mark.parametrize(
+    "kind, values",
+    [
+        ("long", [7] * 500 + list(range(1000)) + [10**15] * 3 + [None] * 40),  # one key with a third, far-off keys, nulls
+        ("long", [5] * 50),
+        ("long", [None, None]),
+        ("long", []),
+        ("double", [float(i) / 7 for i in range(300)] + [float("inf"), float("-inf"), float("nan"), -0.0, None]),
+        ("date", [datetime.date(2020, 1, 1) + datetime.timedelta(days=i * i) for i in range(100)] + [None]),
+        ("decimal(20,3)", [Decimal(i) / 8 for i in range(-50, 200)]),
+    ],
+)
+def test_every_row_is_in_one_range(spark, kind, values):
+    df = keys_of(spark, values, kind)
+    borders = io.equal_borders(io.sampled_keys(df), 8)
+    ranges = io.range_predicates("k", borders, quote="`")
+    hits = df.select(*[F.coalesce(F.expr(r), F.lit(False)).cast("int").alias(f"r{i}") for i, r in enumerate(ranges)]).collect()
+    assert all(sum(row) == 1 for row in hits)
+    sizes = [sum(column) for column in zip(*hits)]
+    held = Counter(values)
+    for size, text in zip(sizes, ranges):
+        if "IS NULL" not in text and len(held) > 20:  # a share, or what one key holds alone
+            assert size <= max(1.3 * len(values) / 8 + 4, max(held.values()))
+
+
+def test_ranges_of_skewed_keys_are_even():
+    """Equal steps between the smallest and largest key would put all but three of these rows into one range."""
+    keys = sorted([i**2 for i in range(8000)] + [10**15] * 3)
+    borders = io.equal_borders(keys, 8)
+    assert len(set(borders)) == 7
+    assert {sum(low <= k < high for k in keys) for low, high in zip(borders, borders[1:])} <= {1000, 1001}
+    assert io.range_predicates('a"b', [3, 3, 9]) == [
+        '"a""b" < 3', '"a""b" >= 3 AND "a""b" <= 3', '"a""b" > 3 AND "a""b" < 9', '"a""b" >= 9', '"a""b" IS NULL',
+    ]
+
+
+def test_texts_have_no_ranges(spark):
+    with pytest.raises(ValueError):
+        io.sampled_keys(keys_of(spark, ["a", "B"], "string"))
+
+
+class Database:
+    """Stands in for a session: answers what a database would, and records what it is asked."""
+
+    def __init__(self, spark, sample, whole):
+        self.read, self.sparkContext = self, spark.sparkContext
+        self.spark, self.sample, self.whole, self.asked = spark, sample, whole, []
+
+    def format(self, kind):
+        assert kind == "jdbc"
+        return self
+
+    def options(self, **options):
+        self.asked.append(options)
+        return self
+
+    def load(self):
+        drawn = self.sample if "TABLESAMPLE" in self.asked[-1]["dbtable"] else self.whole
+        return keys_of(self.spark, drawn)
+
+    def jdbc(self, url, table, predicates, properties):
+        self.asked.append(properties | {"url": url, "dbtable": table})
+        return predicates
+
+
+def test_jdbc_reads_ranges_of_sampled_keys(spark):
+    settings = {"DB_NAME": "ward", "DB_USER": "me", "DB_PASS": "p", "partitionColumn": "k", "numPartitions": "4", "fetchsize": "9"}
+    large = Database(spark, list(range(100)), None)
+    ranges = io.read_jdbc(large, settings, "encounters")
+    assert ranges == ['"k" < 25', '"k" >= 25 AND "k" < 50', '"k" >= 50 AND "k" < 75', '"k" >= 75', '"k" IS NULL']
+    assert len(large.asked) == 2 and large.asked[1] == {
+        "user": "me", "password": "p", "fetchsize": "9", "url": "jdbc:postgresql://localhost:5432/ward", "dbtable": "encounters",
+    }
+    small = Database(spark, [3], list(range(8)))
+    assert io.read_jdbc(small, settings, "encounters")[0] == '"k" < 2' and len(small.asked) == 3
+    assert io.read_jdbc(Database(spark, [], []), settings, "encounters") == ["1 = 1"]
+    bounds = Database(spark, None, [1])
+    io.read_jdbc(bounds, settings | {"lowerBound": "0", "upperBound": "9"}, "encounters")
+    assert bounds.asked[0]["partitionColumn"] == "k" and bounds.asked[0]["lowerBound"] == "0"
+    with pytest.raises(ValueError):
+        io.read_jdbc(large, {k: v for k, v in settings.items() if k not in ("partitionColumn", "numPartitions")}, "encounters")
+
+
 def test_schema_read_back(spark, tmp_path):
     io.write_tables({"encounters": spark.createDataFrame([], ENCOUNTERS)}, str(tmp_path))
     assert io.read_tables(spark, str(tmp_path), ["encounters"])["encounters"].schema == ENCOUNTERS
