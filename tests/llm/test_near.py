@@ -70,6 +70,58 @@ def test_points_that_nothing_separates():
     assert len(simhash.spanning(64, simhash.close_pairs(points, 3, 8))) == 63
 
 
+def test_a_forest_of_a_dense_ball():
+    """Thousands of points of which each is close to hundreds: as many links as points, less one for each component."""
+    rng = np.random.default_rng(5)
+    flips = {sum(1 << int(b) for b in rng.choice(30, 3, replace=False)) for _ in range(20_000)}
+    points = np.array([*flips, 2**63, 2**63 + 1, 2**40 - 1], dtype=np.uint64)
+    forest = simhash.spanning(len(points), simhash.close_pairs(points, 3))
+    assert (np.bitwise_count(points[forest[:, 0]] ^ points[forest[:, 1]]) <= 3).all()
+    label = list(range(len(points)))
+
+    def top(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for i, j in forest.tolist():
+        a, b = top(i), top(j)
+        assert a != b
+        label[max(a, b)] = min(a, b)
+    for block in simhash.close_pairs(points, 3):
+        assert all(top(i) == top(j) for i, j in block[:, :: 997].T.tolist())
+    assert {top(i) for i in range(len(points))} == {0, len(points) - 1 if points[-1] == 2**40 - 1 else len(points)}
+    assert len(forest) == len(points) - 2
+    assert simhash.spanning(3, iter([])).shape == (0, 2)
+
+
+@pytest.mark.parametrize("rows, slots, shard", [(0, 8, 256), (10_000, 8, 313), (40_000, 6, 1667), (10**9, 8, 50_000), (10**6, 4000, 256)])
+def test_shards_follow_rows_and_slots(rows, slots, shard):
+    assert simhash.rows_per_shard(rows, slots) == shard
+
+
+def test_links_over_many_shards(spark):
+    """Far more fingerprints than one shard takes, of which every third has close ones on any side of a border."""
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 2**64, 3000, dtype=np.uint64)
+    flips = np.array([sum(1 << int(b) for b in rng.choice(64, 3, replace=False)) for _ in range(1000)], dtype=np.uint64)
+    points = np.unique(np.concatenate([base, base[:1000] ^ flips, base[:500] ^ flips[500:]]))
+    assert len(points) > 4 * simhash.rows_per_shard(len(points), spark.sparkContext.defaultParallelism)
+    df = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "fp long")
+    wanted = set()
+    for i in range(len(points)):
+        near = np.nonzero(np.bitwise_count(points ^ points[i]) <= 3)[0]
+        wanted |= {tuple(sorted((int(points.view(np.int64)[i]), int(points.view(np.int64)[j])))) for j in near if j > i}
+    found = {tuple(sorted(r)) for r in simhash.links(df).collect()}
+    assert found <= wanted  # a forest leaves out pairs whose ends are joined already
+
+    def roots(edges):
+        frame = spark.createDataFrame(sorted(edges), "a long, b long")
+        return {r["node"]: r["root"] for r in connected_components(frame).collect()}
+
+    assert len(wanted) > 1400 and roots(found) == roots(wanted)
+
+
 def test_components_of_paths_rings_and_hubs(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (102, 100), (7000, 7000)] + [(500, k) for k in range(501, 560)]
     found = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}

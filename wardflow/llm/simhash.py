@@ -36,7 +36,10 @@ from wardflow.session import durable
 
 RADIUS = 3
 WIDTH = 3
-#: Fingerprints that a shard should hold, and the most that are sampled for the upper levels.
+#: Shards for each task that can run at once, the most fingerprints that a shard should hold, and the most that
+#: are sampled for the upper levels. Beyond some 300 million fingerprints the sample no longer makes shards of
+#: that size; they then grow, at 8 bytes a fingerprint.
+SHARDS_A_SLOT = 4
 SHARD_ROWS = 50_000
 MAX_SAMPLE = 200_000
 LEAF = 256
@@ -145,30 +148,43 @@ def close_pairs(points: np.ndarray, radius: int, leaf: int = LEAF, seed: int = 1
                 yield np.stack([places[at + i], places[at + j]])
 
 
-def spanning(n: int, pairs: Iterator[np.ndarray]) -> list[tuple[int, int]]:
-    """A forest with the same components as the pairs."""
-    parent = list(range(n))
+def spanning(n: int, pairs: Iterator[np.ndarray]) -> np.ndarray:
+    """Rows (i, j) of a forest with the same components as the pairs.
 
-    def top(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
+    Trees are hooked many at a time: each root takes part in one pair and goes below a
+    smaller one, so no ring can arise, and pairs within a tree are dropped together.
+    """
+    parent = np.arange(n)
 
-    kept = []
+    def tops(x: np.ndarray) -> np.ndarray:
+        top = parent[x]
+        while (parent[top] != top).any():
+            top = parent[top]
+        parent[x] = top
+        return top
+
+    kept = [np.empty((2, 0), dtype=np.int64)]
     for block in pairs:
-        for i, j in block.T.tolist():
-            a, b = top(i), top(j)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-                kept.append((i, j))
-    return kept
+        while block.shape[1]:
+            a, b = tops(block[0]), tops(block[1])
+            apart = a != b
+            block, high, low = block[:, apart], np.maximum(a, b)[apart], np.minimum(a, b)[apart]
+            high, first = np.unique(high, return_index=True)
+            parent[high] = low[first]
+            kept.append(block[:, first])
+    return np.concatenate(kept, axis=1).T
+
+
+def rows_per_shard(rows: int, slots: int) -> int:
+    """Fingerprints that a shard should hold: small enough for every slot to have some, whatever the table's size."""
+    return min(SHARD_ROWS, max(LEAF, -(-rows // (SHARDS_A_SLOT * slots))))
 
 
-def links(fingerprints: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def links(fingerprints: DataFrame, radius: int = RADIUS, shard_rows: int | None = None) -> DataFrame:
     """(a, b) links of distinct fingerprints ``fp``: the same components as all close pairs."""
     spark = fingerprints.sparkSession
     rows = fingerprints.count()
+    shard_rows = shard_rows or rows_per_shard(rows, spark.sparkContext.defaultParallelism)
     size = min(MAX_SAMPLE, max(2048, 64 * rows // shard_rows))
     drawn = fingerprints.orderBy(F.xxhash64("fp"), "fp").limit(size).toPandas()["fp"]
     tree, shards = upper_levels(np.sort(drawn.to_numpy(dtype=np.int64).view(np.uint64)), rows, shard_rows, radius)
@@ -183,7 +199,7 @@ def links(fingerprints: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def finish(parts: list[np.ndarray]) -> pd.DataFrame:
             points = np.concatenate(parts).view(np.uint64)
-            found = np.array(spanning(len(points), close_pairs(points, radius)), dtype=np.int64).reshape(-1, 2)
+            found = spanning(len(points), close_pairs(points, radius))
             return pd.DataFrame({"a": points[found[:, 0]].view(np.int64), "b": points[found[:, 1]].view(np.int64)})
 
         shard, parts = None, []
