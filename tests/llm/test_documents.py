@@ -36,6 +36,14 @@ def brute(docs, items):
                 yield i, k
 
 
+def test_blocks_are_sized_by_all_white_space_and_by_bytes(spark):
+    for text in ("a\nb\tc " * 300, "x" * 7200):
+        items = items_of(spark, [(i, text) for i in range(40)])
+        blocks = list(decontaminate.item_blocks(items, 9100))
+        assert len(blocks) == 4 and sum(len(b.value) for b in blocks) == 40
+    assert [b.value for b in decontaminate.item_blocks(items_of(spark, []), 9000)] == [[]]
+
+
 @pytest.mark.parametrize("block_words", [10, 10**6])
 def test_items_are_found(spark, block_words):
     filler = " ".join(f"w{i % 97}" for i in range(6000))

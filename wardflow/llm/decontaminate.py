@@ -110,9 +110,10 @@ class Index:
 
 
 def item_blocks(items: DataFrame, block_words: int) -> Iterator[Broadcast]:
-    """The rows of ``items`` in broadcast blocks of about ``block_words`` words."""
+    """The rows of ``items`` in broadcast blocks of about ``block_words`` words; eight bytes count as one word at least."""
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    total = items.agg(F.sum(F.size(F.split("text", " ")))).first()[0] or 0
+    words = F.size(F.split("text", r"[\x20\x09-\x0D]+"))
+    total = items.agg(F.sum(F.greatest(words, F.floor(F.octet_length("text") / 8)))).first()[0] or 0
     blocks = max(1, -(-total // block_words))
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
