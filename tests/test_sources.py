@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 from collections import Counter
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -40,6 +41,24 @@ def test_work_folder_is_the_one_the_session_names():
     assert work_folder(own) == work_folder(own) == own.folder
 
 
+def cluster(spark, setting, **other):
+    """The session as it would be on a cluster's master, with a work folder of its own."""
+    own = spark.sparkContext
+    context = SimpleNamespace(
+        master="spark://host:7077", applicationId=setting, defaultParallelism=4, _jvm=own._jvm, _jsc=own._jsc
+    )
+    return SimpleNamespace(**{"conf": {"spark.checkpoint.dir": setting}, "sparkContext": context, "range": spark.range, "read": spark.read, **other})
+
+
+def test_work_folder_without_a_scheme_is_taken_where_it_is_shared(spark, tmp_path):
+    shared = tmp_path / "shared"
+    assert work_folder(cluster(spark, f"{shared}/")) == f"file:{shared}"
+    assert not list(shared.iterdir())
+    missed = lambda *_: spark.range(0)  # noqa: E731  # the files of other machines are not seen
+    with pytest.raises(RuntimeError, match="own disk"):
+        work_folder(cluster(spark, str(tmp_path / "own"), range=missed))
+
+
 def test_durable_cuts_the_lineage(spark):
     kept = durable(spark.range(5), "five")
     assert kept.count() == 5
