@@ -105,3 +105,30 @@ def test_odd_rows(spark, tmp_path):
     assert sorted(((r["doc_id"], r["n_tokens"], r["n_known"]) for r in found), key=repr) == wanted
     docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
     assert brown.op4_brown_lm(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_words_seen_twice_have_a_class(spark):
+    """Words under ``clustered`` too, shared or not, by the words before them; a text's score by hand."""
+    rng = np.random.default_rng(6)
+    own = lambda k: f"{'nv'[k % 2]}{rng.integers(0, 6)}x"
+    texts = [" ".join(own(k) for k in range(30)) for _ in range(200)]
+    rare = {f"r{j}y": j % 2 for j in range(40)}  # after v like an n, or after n like a v
+    texts += [f"{own(1 - kind)} {w} {own(kind + 1)}" for w, kind in rare.items() for _ in range(2)] + ["n1x once!"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for shared in (1e-6, 0.01):
+        model, rest = brown.fit(docs, brown.F.lit(True), classes=2, clustered=0.01, shared=shared)
+        words = {w: (model.words.counts[p], int(model.classes[p]), model.emit[p]) for w, p in model.words.places.items()}
+        for r in rest.collect():
+            words[bytes(r["word"])] = (r["n"], r["class"], math.log10(r["n"] + 0.1) - model.class_total[r["class"]])
+        kinds = {w[:1]: c for w, (_, c, _) in words.items() if w[:1] in b"nv"}
+        assert {kinds[b"n"], kinds[b"v"]} == {0, 1}
+        assert sum(words[w.encode()][1] == kinds[b"nv"[k : k + 1]] for w, k in rare.items()) >= 36
+        assert words[b"once!"][:2] == (1, 2 + brown.fixed_class(b"once!"))
+        scored = {r["doc_id"]: r["score"] for r in brown.score(docs, model, rest).collect()}
+        end = 2 + brown.FIXED
+        for i in (0, 205, len(texts) - 1):
+            before, total = end, 0.0
+            for w in texts[i].encode().split():
+                total += model.move[before, words[w][1]] + words[w][2]
+                before = words[w][1] if words[w][0] >= 60 else 2 + brown.fixed_class(w)
+            assert scored[i] == pytest.approx(total + model.move[before, end])

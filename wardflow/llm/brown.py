@@ -1,14 +1,17 @@
 """LM scoring with Brown classes: word classes by exchange, class transitions, word emissions.
 
 A text's words are followed by one end token, and an end precedes the first word. The model is
-P(class | class before) * P(word | class), both with additive smoothing; the score of a text is
+P(class | context before) * P(word | class), both with additive smoothing; the score of a text is
 the log10 probability of its tokens, and perplexity follows from sums of scores and tokens.
 
 Classes. Words that make up at least ``clustered`` of the training words (so no more than
 1 / clustered of them) are put into ``classes`` classes by exchange: each word moves to the class that most
 raises the likelihood of the class bigrams. All moves of a round are judged in parallel against the
-same counts, even and odd words in turn. All other words, unseen ones too, have one of 16
-fixed classes by length and last character. The end is a class of its own.
+same counts, even and odd words in turn, until the likelihood has settled. Every other word seen twice or more is
+then placed once, by the contexts before it, in the one of these classes that most raises the likelihood. Words seen
+once, like unseen ones, have one of 16 fixed classes by length and last character. The end is a class of its own.
+As a context a clustered word counts by its class, every other word by its fixed class, so a text needs the classes
+of its rarer words only one at a time, where the join finds them.
 
 Counts cover all training texts. Counts of words above ``shared`` of the training words are broadcast
 (no more than 1 / shared words); all other words of a text meet their counts in a join, in which by that bound
@@ -39,7 +42,10 @@ CLUSTERED = 1e-5
 SHARED = 1e-6
 CLASSES = 32
 FIXED = 16
-ROUNDS = 4
+#: A bound; the exchange stops when a round of each half has raised the log10 likelihood per token by less than this.
+#: Moves alone don't end: words judged against the same counts may go back and forth.
+ROUNDS = 40
+SETTLED = 0.0005
 ADD = 0.1
 ADD_MOVE = 0.5
 FOLDS, HELD_OUT = 10, 0
@@ -77,30 +83,31 @@ def count_words(training: DataFrame) -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """Shared words by falling count; the first ``clustered`` have classes by exchange."""
+    """Shared words by falling count: the first ``exchanged`` have classes by exchange, all of the first ``clustered`` one that is not fixed."""
 
     places: dict[bytes, int]
     counts: np.ndarray
     clustered: int
     classes: int
+    exchanged: int
 
     @property
     def end(self) -> int:
-        """The end's place among the units of bigrams: clustered words, fixed classes, end."""
-        return self.clustered + FIXED
+        """The end's place among the units of bigrams: exchanged words, fixed classes, end."""
+        return self.exchanged + FIXED
 
     def units(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Places of words (-1 where not shared), and the units of the text between two ends."""
         places = np.fromiter(map(self.places.get, words, repeat(-1)), dtype=np.int64, count=len(words))
         units = np.full(len(words) + 2, self.end, dtype=np.int64)
         units[1:-1] = places
-        for k in np.flatnonzero((places < 0) | (places >= self.clustered)).tolist():
-            units[k + 1] = self.clustered + fixed_class(words[k])
+        for k in np.flatnonzero((places < 0) | (places >= self.exchanged)).tolist():
+            units[k + 1] = self.exchanged + fixed_class(words[k])
         return places, units
 
     def start_classes(self) -> np.ndarray:
         """Class of each unit: words dealt out by rank; fixed classes and the end after them."""
-        own = np.arange(self.clustered) % self.classes
+        own = np.arange(self.exchanged) % self.classes
         return np.concatenate([own, self.classes + np.arange(FIXED + 1)]).astype(np.int16)
 
 
@@ -174,12 +181,16 @@ def best_class(counts: np.ndarray, own: int, after: np.ndarray, before: np.ndarr
 
 
 def exchange(bigrams: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of all units after ``rounds`` rounds, and the bigram counts of classes."""
+    """Classes of all units once they have settled, or after ``rounds`` rounds, and the bigram counts of classes."""
     spark, size, classes = bigrams.sparkSession, words.end + 1, words.start_classes()
     k = words.classes + FIXED + 1
-    width = 2 * k + 1
-    for turn in range(rounds):
+    width, reached = 2 * k + 1, []
+    for turn in range(rounds + 1):
         counts = class_counts(bigrams, size, classes)
+        gained = _xlogx(counts).sum() - _xlogx(counts.sum(axis=0)).sum() - _xlogx(counts.sum(axis=1)).sum()
+        reached.append(gained / max(counts.sum(), 1.0) / math.log(10))
+        if turn == rounds or turn > 1 and reached[-1] - reached[-3] < SETTLED:
+            break
         shared = spark.sparkContext.broadcast((classes, counts))
 
         def neighbours(batches: Iterator[pd.DataFrame], shared=shared, turn=turn) -> Iterator[pd.DataFrame]:
@@ -188,7 +199,7 @@ def exchange(bigrams: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> tup
                 pair, n = batch["pair"].to_numpy(), batch["n"].to_numpy()
                 a, b = pair // size, pair % size
                 keys = [a * width + own[b], b * width + k + own[a], a * width + 2 * k]
-                keep = [(u < words_clustered) & (u % 2 == turn % 2) for u in (a, b, a)]
+                keep = [(u < n_words) & (u % 2 == turn % 2) for u in (a, b, a)]
                 keep[2] &= a == b
                 unique, total = add_up(np.concatenate([x[y] for x, y in zip(keys, keep)]), np.concatenate([n[y] for y in keep]))
                 yield pd.DataFrame({"word": unique // width, "slot": (unique % width).astype(np.int32), "n": total})
@@ -205,7 +216,7 @@ def exchange(bigrams: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> tup
                         moved.append((word, best))
                 yield pd.DataFrame(moved, columns=["word", "class"]).astype("int64")
 
-        words_clustered, n_classes = words.clustered, words.classes
+        n_words, n_classes = words.exchanged, words.classes
         vectors = bigrams.mapInPandas(neighbours, "word long, slot int, n long").groupBy("word", "slot").agg(F.sum("n").alias("n"))
         vectors = vectors.groupBy("word").agg(F.collect_list(F.struct("slot", "n")).alias("own"))  # at most ``width`` each
         vectors = vectors.select("word", F.col("own.slot").alias("slots"), F.col("own.n").alias("totals"))
@@ -213,16 +224,60 @@ def exchange(bigrams: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> tup
         classes = classes.copy()
         for move in moves:
             classes[move["word"]] = move["class"]
-        if not moves and turn:
-            break
-    return classes, class_counts(bigrams, size, classes)
+    return classes, counts
+
+
+def count_contexts(training: DataFrame, vocabulary, contexts: np.ndarray) -> DataFrame:
+    """(word, slots, totals, n) of the words that are not exchanged: how often each context stands before them."""
+    shared = training.sparkSession.sparkContext.broadcast(contexts)
+
+    def frame(counts: Counter) -> pd.DataFrame:
+        return pd.DataFrame({"word": [w for w, _ in counts], "slot": [c for _, c in counts], "n": list(counts.values())})
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words, own, counts = vocabulary.value, shared.value, Counter()
+        for batch in batches:
+            for text in batch["text"]:
+                tokens = tokens_of(text)
+                units = words.units(tokens)[1]
+                at = np.flatnonzero(units[1:-1] >= words.exchanged)
+                counts.update(zip([tokens[k] for k in at.tolist()], own[units[at]].tolist()))
+                if len(counts) > 300_000:
+                    yield frame(counts)
+                    counts = Counter()
+        yield frame(counts)
+
+    found = training.select("text").mapInPandas(work, "word binary, slot int, n long").groupBy("word", "slot").agg(F.sum("n").alias("n"))
+    found = found.groupBy("word").agg(F.collect_list(F.struct("slot", "n")).alias("own"), F.sum("n").alias("n"))  # a slot for each context at most
+    return found.select("word", F.col("own.slot").alias("slots"), F.col("own.n").alias("totals"), "n")
+
+
+def place(words: DataFrame, moves: np.ndarray, classes: int) -> DataFrame:
+    """``count_contexts`` with a class: by gain in likelihood for words seen twice or more, else fixed."""
+    shared = words.sparkSession.sparkContext.broadcast(moves[:, :classes])
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = shared.value
+        logs, all_in = _xlogx(counts), counts.sum(axis=0)
+        for batch in batches:
+            if len(batch):
+                slots, n = np.concatenate(batch["slots"].tolist()), batch["n"].to_numpy()
+                totals = np.concatenate(batch["totals"].tolist())[:, None]
+                starts = np.concatenate([[0], np.cumsum([len(x) for x in batch["slots"]])[:-1]])
+                gain = np.add.reduceat(_xlogx(counts[slots] + totals) - logs[slots], starts, axis=0)
+                gain -= _xlogx(all_in + n[:, None]) - _xlogx(all_in)
+                fixed = np.array([classes + fixed_class(bytes(w)) for w in batch["word"]])
+                yield batch.assign(**{"class": np.where(n > 1, gain.argmax(axis=1), fixed)})
+
+    return words.mapInPandas(work, "word binary, slots array<int>, totals array<long>, n long, class int")
 
 
 @dataclass
 class Model:
-    """Log10 tables of the shared words, the classes and the moves between them."""
+    """Log10 tables of the shared words, the classes and the moves to them; ``contexts`` by unit, ``classes`` by place."""
 
     words: Vocabulary
+    contexts: np.ndarray
     classes: np.ndarray
     move: np.ndarray
     emit: np.ndarray
@@ -235,7 +290,7 @@ class Model:
 
 
 def fit(docs: DataFrame, usable: Column, classes: int = CLASSES, rounds: int = ROUNDS, clustered: float = CLUSTERED, shared: float = SHARED) -> tuple[Model, DataFrame]:
-    """A model of the ``usable`` rows, and the counts (word, n) of words that it does not hold."""
+    """A model of the ``usable`` rows, and (word, n, class) of the words that it does not hold."""
     spark = docs.sparkSession
     training = texts(docs).where(usable)
     counts = durable(count_words(training), "counts")
@@ -247,34 +302,35 @@ def fit(docs: DataFrame, usable: Column, classes: int = CLASSES, rounds: int = R
     words = Vocabulary(
         {word: place for place, (word, _) in enumerate(top)},
         np.array([n for _, n in top], dtype=np.float64),
-        sum(n >= clustered * n_words for _, n in top),
+        sum(n >= clustered * n_words or n > 1 for _, n in top),
         classes,
+        sum(n >= clustered * n_words for _, n in top),
     )
     sent = spark.sparkContext.broadcast(words)
     bigrams = durable(count_bigrams(training, sent), "bigrams")
     unit_classes, moves = exchange(bigrams, words, rounds)
 
-    of_shared = np.array([unit_classes[p] if p < words.clustered else classes + fixed_class(w) for p, (w, _) in enumerate(top)], dtype=np.int64)
     size = classes + FIXED + 1
+    placed = durable(place(count_contexts(training, sent, unit_classes), moves, classes), "placed")
+    of_shared = np.concatenate([unit_classes[: words.exchanged], np.zeros(len(top) - words.exchanged)]).astype(np.int64)
+    for row in placed.where(common).select("word", "class").collect():  # at most 1 / shared
+        of_shared[words.places[bytes(row["word"])]] = row["class"]
+    moves[:, classes : classes + FIXED] = 0  # these words now count in the classes they have
+    of_placed = placed.select("class", F.explode(F.arrays_zip("slots", "totals")).alias("own"))
+    for row in of_placed.groupBy("own.slots", "class").agg(F.sum("own.totals").alias("n")).collect():  # size * size at most
+        moves[row["slots"], row["class"]] += row["n"]
     totals, types = np.bincount(of_shared, words.counts, size), np.bincount(of_shared, minlength=size).astype(float)
-    rest = counts.where(~common)
-
-    def by_class(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            own = np.array([fixed_class(bytes(w)) for w in batch["word"]], dtype=np.int64)
-            n = np.bincount(own, batch["n"].to_numpy(), FIXED).astype(np.int64)
-            yield pd.DataFrame({"class": np.arange(FIXED), "n": n, "types": np.bincount(own, minlength=FIXED)})
-
-    for row in rest.mapInPandas(by_class, "class long, n long, types long").groupBy("class").agg(F.sum("n"), F.sum("types")).collect():
-        totals[classes + row[0]] += row[1]
-        types[classes + row[0]] += row[2]
+    rest = placed.where(~common).select("word", "n", "class")
+    for row in rest.groupBy("class").agg(F.sum("n"), F.count("*")).collect():
+        totals[row[0]] += row[1]
+        types[row[0]] += row[2]
     types[classes : classes + FIXED] += 1  # the unseen word
     train_tokens, distinct = n_words + n_texts, n_types + (n_texts > 0)
     base_total = math.log10(train_tokens + ADD * (distinct + 1))
     class_total = np.log10(np.maximum(totals + ADD * types, 1e-300))
     move = np.log10((moves + ADD_MOVE) / (moves.sum(axis=1, keepdims=True) + ADD_MOVE * size))
     model = Model(
-        words, unit_classes.astype(np.int64), move,
+        words, unit_classes.astype(np.int64), of_shared, move,
         np.log10(words.counts + ADD) - class_total[of_shared], np.log10(words.counts + ADD) - base_total,
         math.log10(n_texts + ADD) - base_total, n_texts > 0, class_total, base_total, train_tokens,
     )
@@ -298,27 +354,31 @@ def score(docs: DataFrame, model: Model, rest: DataFrame) -> DataFrame:
             for name, gone, th, text in zip(batch["doc_id"], batch["doc_id"].isna(), batch["th"], batch["text"]):
                 tokens = tokens_of(text)
                 places, units = words.units(tokens)
-                own = m.classes[units]
-                held = places[places >= 0]
-                total = float(m.move[own[:-1], own[1:]].sum() + m.emit[held].sum())
+                own = m.contexts[units]
+                at = np.flatnonzero(places >= 0)
+                held = places[at]
+                total = float(m.move[own[at], m.classes[held]].sum() + m.emit[held].sum() + m.move[own[-2], own[-1]])
                 base = float(m.base[held].sum()) + m.end_base
                 name = None if gone else int(name)
                 lead = b" %d %d" % (name or 0, th)
-                out.append((name, th, lead, 0, len(tokens) + 1, len(held) + m.end_known, base, total))
+                out.append((name, th, lead, None, 0, len(tokens) + 1, len(held) + m.end_known, base, total))
                 if len(held) < len(tokens):
-                    others = Counter(tokens[k] for k in np.flatnonzero(places < 0).tolist())
-                    out += [(name, th, word, n, None, None, None, None) for word, n in others.items()]
-            frame = pd.DataFrame(out, columns=["doc_id", "th", "word", "n_here", "n_tokens", "n_known", "base", "score"])
-            yield frame.astype({"doc_id": "Int64", "n_tokens": "Int64", "n_known": "Int64"})
-
-    # Words outside the model have one of the fixed classes; its total is looked up by class.
-    totals = F.array(*[F.lit(float(x)) for x in model.class_total[model.words.classes : model.words.classes + FIXED]])
+                    others = Counter((tokens[k], int(own[k])) for k in np.flatnonzero(places < 0).tolist())
+                    out += [(name, th, word, before, n, None, None, None, None) for (word, before), n in others.items()]
+            frame = pd.DataFrame(out, columns=["doc_id", "th", "word", "before", "n_here", "n_tokens", "n_known", "base", "score"])
+            yield frame.astype({"doc_id": "Int64", "before": "Int64", "n_tokens": "Int64", "n_known": "Int64"})
+
+    # Words outside the model have the class of the table, or a fixed one; its total and the move to it are looked up.
+    size = len(model.class_total)
+    totals, moves = (F.array(*[F.lit(float(x)) for x in table.ravel()]) for table in (model.class_total, model.move))
     last = F.expr("ascii(substring(decode(substring(word, -1, 1), 'ISO-8859-1'), 1, 1))")
     kind = F.when(last.between(97, 122), 0).when(last.between(48, 57), 1).when(last < 128, 2).otherwise(3)
-    total = F.element_at(totals, (F.least(F.floor(F.length("word") / 4), F.lit(3)) * 4 + kind + 1).cast("int"))
+    fixed = F.least(F.floor(F.length("word") / 4), F.lit(3)) * 4 + kind + model.words.classes
+    own = F.coalesce(F.col("class"), fixed.cast("int"))
+    total = F.element_at(totals, own + 1) - F.element_at(moves, F.col("before") * size + own + 1)
     rows = texts(docs).withColumn("th", F.xxhash64("text"))
     rows = rows.mapInPandas(
-        work, "doc_id long, th long, word binary, n_here int, n_tokens long, n_known long, base double, score double"
+        work, "doc_id long, th long, word binary, before int, n_here int, n_tokens long, n_known long, base double, score double"
     )
     rows = rows.join(rest, "word", "left")
     seen, here = F.coalesce("n", F.lit(0)), F.col("n_here")
