@@ -162,6 +162,14 @@ def test_packing(bits):
         assert (segment.ids(a, b) == ids[a:b]).all()
 
 
+def test_whole_widths_are_copied(monkeypatch):
+    ids = np.array([0, 1, 50256, 65535], dtype=np.uint32)
+    bits = np.packbits(np.unpackbits(ids.view(np.uint8).reshape(-1, 4), axis=1, bitorder="little", count=16), bitorder="little")
+    monkeypatch.setattr(packed_ids.np, "unpackbits", None)
+    assert packed_ids.pack(ids, 16) == bits.tobytes()
+    assert packed_ids.unpack(bits.tobytes(), 16, 4).tolist() == ids.tolist()
+
+
 def test_an_id_beyond_the_width():
     with pytest.raises(ValueError):
         packed_ids.write_segment([1], [np.array([8], dtype=np.uint32)], 3, 0)
@@ -187,6 +195,16 @@ def test_byte_encoder_equals_the_library():
         assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_plain_texts_and_new_pieces():
+    """Every Latin-1 character beside others, and pieces that are forgotten between and within groups of texts."""
+    tokenizer = library("byte_bpe_50k.json")
+    texts = [f"a{chr(c)}1 {chr(c)} 'tis{chr(c)}{chr(c)}\n é{chr(c)}" for c in range(256)] * 2
+    encode = packed_ids.ByteEncoder(tokenizer.to_str(), limit=300)
+    assert encode._is_plain("tab\t é\r\n") and not any(map(encode._is_plain, ["\x0b", "×", "Ā", "<|endoftext|>"]))
+    for text, ids in zip(texts, encode(texts)):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_packed_ids_of_the_small_table(spark, folder):
     tokenizer = library("byte_bpe_50k.json")
     rows = sorted((r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{folder}/documents.parquet").collect())
