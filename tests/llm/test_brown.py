@@ -61,6 +61,18 @@ def test_probabilities_add_up(spark):
     assert (10**model.move).sum(axis=1) == pytest.approx(np.ones(k + brown.FIXED + 1))
 
 
+def test_units_of_a_text():
+    """All words at once: shared ones by place, the others by the fixed class that each has alone."""
+    own = brown.tokens_of("The cat, 12 7z \x00 é an-extraordinarily-long-word the 1 Ω9 {")
+    words = brown.Vocabulary({b"the": 0, b"cat,": 1}, np.array([2.0, 1.0]), 2, 2, 1)
+    places, units = words.units(own)
+    assert places.tolist() == [0, 1] + [-1] * 5 + [0] + [-1] * 3
+    fixed = [1 + brown.fixed_class(w) for w in own]
+    assert units.tolist() == [words.end, 0, *fixed[1:7], 0, *fixed[8:], words.end]
+    assert brown.fixed_classes(own).tolist() == [f - 1 for f in fixed]
+    assert [x.tolist() for x in words.units([])] == [[], [words.end] * 2]
+
+
 def likelihood(counts):
     return brown._xlogx(counts).sum() - brown._xlogx(counts.sum(axis=0)).sum() - brown._xlogx(counts.sum(axis=1)).sum()
 

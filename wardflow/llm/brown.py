@@ -25,10 +25,10 @@ each; an empty table gives no rows. Other columns are not read.
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import count, repeat
 
 import numpy as np
 import pandas as pd
@@ -62,6 +62,19 @@ def fixed_class(word: bytes) -> int:
     return min(len(word) // 4, 3) * 4 + kind
 
 
+def fixed_classes(words: list[bytes]) -> np.ndarray:
+    """``fixed_class`` of many words."""
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    last = np.frombuffer(b"".join(words), dtype=np.uint8)[np.cumsum(sizes) - 1]
+    kind = np.select([(last >= 97) & (last < 123), (last >= 48) & (last < 58), last < 128], [0, 1, 2], 3)
+    return np.minimum(sizes // 4, 3) * 4 + kind
+
+
+def numbering() -> defaultdict[bytes, int]:
+    """Gives each new word the next number."""
+    return defaultdict(count().__next__)
+
+
 def count_words(training: DataFrame) -> DataFrame:
     """(word, n) of all training texts, added up in each task before the shuffle."""
 
@@ -101,8 +114,9 @@ class Vocabulary:
         places = np.fromiter(map(self.places.get, words, repeat(-1)), dtype=np.int64, count=len(words))
         units = np.full(len(words) + 2, self.end, dtype=np.int64)
         units[1:-1] = places
-        for k in np.flatnonzero((places < 0) | (places >= self.exchanged)).tolist():
-            units[k + 1] = self.exchanged + fixed_class(words[k])
+        others = np.flatnonzero((places < 0) | (places >= self.exchanged))
+        if len(others):
+            units[others + 1] = self.exchanged + fixed_classes([words[k] for k in others.tolist()])
         return places, units
 
     def start_classes(self) -> np.ndarray:
@@ -231,21 +245,29 @@ def count_contexts(training: DataFrame, vocabulary, contexts: np.ndarray) -> Dat
     """(word, slots, totals, n) of the words that are not exchanged: how often each context stands before them."""
     shared = training.sparkSession.sparkContext.broadcast(contexts)
 
-    def frame(counts: Counter) -> pd.DataFrame:
-        return pd.DataFrame({"word": [w for w, _ in counts], "slot": [c for _, c in counts], "n": list(counts.values())})
-
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, own, counts = vocabulary.value, shared.value, Counter()
+        words, own = vocabulary.value, shared.value
+        size = int(own.max()) + 1
+        names, held, rows = numbering(), [], 0
+
+        def frame() -> pd.DataFrame:
+            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            every = np.array([*names], dtype=object)
+            return pd.DataFrame({"word": every[keys // size], "slot": (keys % size).astype(np.int32), "n": n})
+
         for batch in batches:
             for text in batch["text"]:
                 tokens = tokens_of(text)
                 units = words.units(tokens)[1]
                 at = np.flatnonzero(units[1:-1] >= words.exchanged)
-                counts.update(zip([tokens[k] for k in at.tolist()], own[units[at]].tolist()))
-                if len(counts) > 300_000:
-                    yield frame(counts)
-                    counts = Counter()
-        yield frame(counts)
+                codes = np.fromiter(map(names.__getitem__, [tokens[k] for k in at.tolist()]), dtype=np.int64, count=len(at))
+                held.append(codes * size + own[units[at]])
+                rows += len(at)
+                if len(names) > 300_000 or rows > 2_000_000:
+                    yield frame()
+                    names, held, rows = numbering(), [], 0
+        if rows:
+            yield frame()
 
     found = training.select("text").mapInPandas(work, "word binary, slot int, n long").groupBy("word", "slot").agg(F.sum("n").alias("n"))
     found = found.groupBy("word").agg(F.collect_list(F.struct("slot", "n")).alias("own"), F.sum("n").alias("n"))  # a slot for each context at most
@@ -266,7 +288,7 @@ def place(words: DataFrame, moves: np.ndarray, classes: int) -> DataFrame:
                 starts = np.concatenate([[0], np.cumsum([len(x) for x in batch["slots"]])[:-1]])
                 gain = np.add.reduceat(_xlogx(counts[slots] + totals) - logs[slots], starts, axis=0)
                 gain -= _xlogx(all_in + n[:, None]) - _xlogx(all_in)
-                fixed = np.array([classes + fixed_class(bytes(w)) for w in batch["word"]])
+                fixed = classes + fixed_classes([bytes(w) for w in batch["word"]])
                 yield batch.assign(**{"class": np.where(n > 1, gain.argmax(axis=1), fixed)})
 
     return words.mapInPandas(work, "word binary, slots array<int>, totals array<long>, n long, class int")
@@ -349,24 +371,36 @@ def score(docs: DataFrame, model: Model, rest: DataFrame) -> DataFrame:
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
         words = m.words
+        size = len(m.move)
         for batch in slices(batches):
-            out: list[tuple] = []
-            for name, gone, th, text in zip(batch["doc_id"], batch["doc_id"].isna(), batch["th"], batch["text"]):
+            gone = batch["doc_id"].isna().to_numpy()
+            doc_ids, ths = batch["doc_id"].fillna(0).to_numpy().astype(np.int64), batch["th"].to_numpy()
+            out, names, held = [], numbering(), [np.empty(0, dtype=np.int64)]
+            for k, (name, th, text) in enumerate(zip(doc_ids.tolist(), ths.tolist(), batch["text"])):
                 tokens = tokens_of(text)
                 places, units = words.units(tokens)
                 own = m.contexts[units]
                 at = np.flatnonzero(places >= 0)
-                held = places[at]
-                total = float(m.move[own[at], m.classes[held]].sum() + m.emit[held].sum() + m.move[own[-2], own[-1]])
-                base = float(m.base[held].sum()) + m.end_base
-                name = None if gone else int(name)
-                lead = b" %d %d" % (name or 0, th)
-                out.append((name, th, lead, None, 0, len(tokens) + 1, len(held) + m.end_known, base, total))
-                if len(held) < len(tokens):
-                    others = Counter((tokens[k], int(own[k])) for k in np.flatnonzero(places < 0).tolist())
-                    out += [(name, th, word, before, n, None, None, None, None) for (word, before), n in others.items()]
-            frame = pd.DataFrame(out, columns=["doc_id", "th", "word", "before", "n_here", "n_tokens", "n_known", "base", "score"])
-            yield frame.astype({"doc_id": "Int64", "before": "Int64", "n_tokens": "Int64", "n_known": "Int64"})
+                held_places = places[at]
+                total = float(m.move[own[at], m.classes[held_places]].sum() + m.emit[held_places].sum() + m.move[own[-2], own[-1]])
+                base = float(m.base[held_places].sum()) + m.end_base
+                out.append((b" %d %d" % (name, th), len(tokens) + 1, len(at) + m.end_known, base, total))
+                if len(at) < len(tokens):
+                    at = np.flatnonzero(places < 0)
+                    codes = np.fromiter(map(names.__getitem__, [tokens[i] for i in at.tolist()]), dtype=np.int64, count=len(at))
+                    held.append((codes * len(batch) + k) * size + own[at])
+            lead, n_tokens, n_known, base, total = zip(*out)
+            ids = pd.arrays.IntegerArray(doc_ids, gone)
+            yield pd.DataFrame(
+                {"doc_id": ids, "th": ths, "word": lead, "before": None, "n_here": 0, "n_tokens": n_tokens, "n_known": n_known, "base": base, "score": total}
+            ).astype({"before": "Int64"})
+            if names:
+                keys, n = np.unique(np.concatenate(held), return_counts=True)
+                of, every = keys // size % len(batch), np.array([*names], dtype=object)
+                found = {"doc_id": ids[of], "th": ths[of], "word": every[keys // size // len(batch)], "before": keys % size, "n_here": n}
+                yield pd.DataFrame({**found, "n_tokens": None, "n_known": None, "base": np.nan, "score": np.nan}).astype(
+                    {"n_tokens": "Int64", "n_known": "Int64"}
+                )
 
     # Words outside the model have the class of the table, or a fixed one; its total and the move to it are looked up.
     size = len(model.class_total)
