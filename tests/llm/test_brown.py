@@ -144,3 +144,76 @@ def test_words_seen_twice_have_a_class(spark):
                 total += model.move[before, words[w][1]] + words[w][2]
                 before = words[w][1] if words[w][0] >= 60 else 2 + brown.fixed_class(w)
             assert scored[i] == pytest.approx(total + model.move[before, end])
+
+
+def test_many_texts_at_once():
+    """Words, their classes and the units of many texts as those of each alone, from a part of a batch too."""
+    texts = ["left out", "", " a  B\x0bc ", "\x1ca\x1f\x85 a", "\t\r\n", "Ω9 {\x00 7z", "a " * 50, ""]
+    column = brown.pa.array(texts).slice(1)
+    own = [brown.tokens_of(t) for t in texts[1:]]
+    tokens = brown.cut(column)
+    listed = tokens.words.to_pylist()
+    assert [[listed[c] for c in tokens.codes[tokens.of == k]] for k in range(len(own))] == own
+    assert len(set(listed)) == len(listed) == len(set().union(*own))
+    for k in range(len(listed)):
+        assert brown.fixed_classes(tokens.words.slice(k)).tolist() == [brown.fixed_class(w) for w in listed[k:]]
+    words = brown.Vocabulary({b"a": 0, b"7z": 1}, np.array([2.0, 1.0]), 2, 2, 1)
+    wanted = np.concatenate([[words.end], *(words.units(o)[1][1:] for o in own)])
+    assert words.line(tokens)[2].tolist() == wanted.tolist()
+
+
+def test_pieces_hold_every_text():
+    texts = ["x" * n for n in (0, 5, 3 * brown.PIECE // 2, 1, 0, brown.PIECE - 1, 2, 0)]
+    batch = brown.pa.RecordBatch.from_pydict({"text": brown.pa.array(texts)})
+    found = [p["text"].to_pylist() for p in brown.pieces(iter([batch, batch.slice(0, 0), batch.slice(3)]))]
+    assert sum(found, []) == texts + texts[3:]
+    assert all(len(p) == 1 or sum(map(len, p)) <= brown.PIECE for p in found)
+
+
+def test_tally_over_pieces():
+    rng = np.random.default_rng(7)
+    for size, kinds in ((1, 40), (49, 40), (49, 3)):
+        tally, wanted = brown.Tally(size), Counter()
+        for _ in range(3):
+            words = [b"w%d" % k for k in rng.permutation(60)[:kinds]]
+            codes, second = rng.integers(0, kinds, 500), rng.integers(0, size, 500)
+            tally.add(brown.pa.array(words, brown.pa.binary()), codes, second)
+            wanted.update(zip([words[c] for c in codes], second.tolist()))
+        found, second, n = tally.take()
+        assert dict(zip(zip(found.to_pylist(), second.tolist()), n.tolist())) == wanted
+        assert len(found) == len(wanted) and len(tally.take()[0]) == 0
+
+
+def test_neighbours_of_each_word(spark):
+    """One row for each exchanged word, with all its pairs, so that no round has to shuffle them."""
+    words = brown.Vocabulary({b"a": 0, b"b": 1, b"c": 2}, np.ones(3), 3, 2, 3)
+    size = words.end + 1
+    pairs = {(0, 0): 4, (0, 1): 2, (1, 0): 3, (words.end, 1): 5, (1, 4): 7, (4, words.end): 6}
+    bigrams = spark.createDataFrame([(a * size + b, n) for (a, b), n in pairs.items()], "pair long, n long")
+    found = {r["unit"]: sorted(zip(r["others"], r["ns"])) for r in brown.neighbours(bigrams, words).collect()}
+    own = lambda w: sorted([(b, n) for (a, b), n in pairs.items() if a == w] + [(a + size, n) for (a, b), n in pairs.items() if b == w])
+    assert found == {0: own(0), 1: own(1)}
+
+
+def test_places_of_frequent_words(spark):
+    """Counts looked up and counts too large for that: the class that most raises the likelihood of the contexts."""
+    rng = np.random.default_rng(8)
+    moves = rng.integers(0, 90, (20, 20)).astype(float)
+    rows = []
+    for k in range(60):
+        slots = rng.permutation(20)[: 1 + k % 9]
+        totals = rng.integers(1, 9 if k % 2 else 400, len(slots))
+        rows.append((b"w%d" % k, slots.tolist(), totals.tolist(), int(totals.sum())))
+    docs = spark.createDataFrame(rows, "word binary, slots array<int>, totals array<long>, n long")
+    found = {bytes(r["word"]): r["class"] for r in brown.place(docs, moves, 3).collect()}
+    for word, slots, totals, n in rows:
+        gain = [sum(brown._xlogx(moves[s, c] + t) - brown._xlogx(moves[s, c]) for s, t in zip(slots, totals)) for c in range(3)]
+        gain -= brown._xlogx(moves[:, :3].sum(axis=0) + n) - brown._xlogx(moves[:, :3].sum(axis=0))
+        assert found[word] == (gain.argmax() if n > 1 else 3 + brown.fixed_class(word))
+
+
+def test_scores_without_sorting_words(spark):
+    docs = spark.createDataFrame([(1, "a b a c"), (2, "b a d")], "doc_id long, text string")
+    model, rest = brown.fit(docs, brown.F.lit(True), classes=2, clustered=0.2, shared=0.2)
+    plan = brown.score(docs, model, rest)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
